@@ -78,7 +78,10 @@ def boosted_forecast(
     """
     spark = daily.sparkSession
     path = scratch_path(spark, "boosted")
-    boosted_frame(daily, keys, target, horizons).write.partitionBy("part").parquet(path)
+    frame = boosted_frame(daily, keys, target, horizons)
+    # Horizons multiply the rows after the shuffle by series: spread them over all cores again.
+    spread = frame.repartition(spark.sparkContext.defaultParallelism)
+    spread.write.partitionBy("part").parquet(path)
     rows = spark.read.parquet(path)
     features = [m for m in FEATURE_MEASURES if m != target] + ["weekday", "horizon", "level"]
     trees = GBTRegressor(

@@ -12,7 +12,7 @@ from trafficcast.operators import features as X
 from trafficcast.operators.boosted import boosted_forecast
 from trafficcast.operators.compare import compare_models, model_run_time, score_summary
 from trafficcast.operators.evaluate import error_metrics, split_scores, with_errors
-from trafficcast.operators.filters import before
+from trafficcast.operators.filters import allow_apps, before
 from trafficcast.operators.forecast import DAYS, HORIZONS, forecast_only, holdout_split
 from trafficcast.operators.series import daily_peak_measures, hourly_measures
 from trafficcast.plans.reports import (
@@ -44,7 +44,7 @@ from trafficcast.registry.sql import (
     metrics,
     trend_chain,
 )
-from trafficcast.sources.adapters import EVENT_APPS, event_points
+from trafficcast.sources.adapters import EVENT_APPS, ORDER_APPS, event_points, order_points
 from trafficcast.sources.ingest import midnight_ms
 
 RUN_DATE = {"48h": dt.date(2024, 1, 31), "30d": dt.date(2001, 11, 5)}
@@ -129,6 +129,7 @@ def scores_by_split(spark, folder):
 
 def _additive_queries(report, horizon):
     spec, grain, date = REPORTS[report], HORIZONS[horizon], RUN_DATE[horizon]
+    keys = ", ".join(KEYS[report])
 
     def fitted(spark, folder):
         return fit(data_of(spark, folder, report, horizon), spec, grain)
@@ -145,6 +146,18 @@ def _additive_queries(report, horizon):
     def analysed(spark, folder):
         return analysis_table(fitted(spark, folder), spec, date)
 
+    # All but the fitted numbers has SQL: gate, calendar and the pairing with actual values.
+    @query(
+        f"additive_steps_{report}_{horizon}",
+        f"WITH {POINTS[horizon]}, {trend_chain(report, horizon)}"
+        f" SELECT {keys}, 'forecast' AS kind, ds, CAST(NULL AS DOUBLE) AS y, true AS fitted FROM ahead"
+        f" UNION ALL SELECT {keys}, 'valid' AS kind, ds, y, true AS fitted FROM valid",
+        f"{_kinds(report)}kind:s ds:t y:d fitted:s",
+    )
+    def steps(spark, folder):
+        rows = fitted(spark, folder)
+        return rows.select(*spec.keys, "kind", "ds", "y", (~F.isnan("yhat")).alias("fitted"))
+
 
 for _report in REPORTS:
     for _horizon in HORIZONS:
@@ -284,7 +297,9 @@ def log_target(spark, folder):
 
 @query("boosted_forecast", digits=4)
 def boosted(spark, folder):
-    return boosted_forecast(daily_measures_of(spark, folder), _BOTH)
+    points = allow_apps(order_points(spark, folder), ORDER_APPS)
+    days = daily_peak_measures(hourly_measures(points, _BOTH), _BOTH)
+    return boosted_forecast(days, _BOTH)
 
 
 _TWO_MODELS = (

@@ -22,14 +22,14 @@ def _points(df: DataFrame, **columns: Column) -> DataFrame:
     return align(df.select(*[c.alias(name) for name, c in columns.items()]), DATAPOINT)
 
 
-def event_points(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as hourly measurements."""
+def event_points(spark: SparkSession, folder: str, sources: int = 4) -> DataFrame:
+    """Events as hourly measurements, their users spread over the given number of sources."""
     value = F.col("value")
     return _points(
         _table(spark, folder, "events"),
         time_stamp=_millis(F.date_trunc("hour", F.col("ts").cast("timestamp"))),
         application=F.col("event_type"),
-        source=F.concat(F.lit("s"), (F.col("user_id") % 4).cast("string")),
+        source=F.concat(F.lit("s"), (F.col("user_id") % sources).cast("string")),
         target_address=F.col("user_id").cast("string"),
         target_attribute_id=F.col("user_id") % 25,
         app_rsp_time=value,
