@@ -14,6 +14,7 @@ DAY = 86_400.0
 WEEK = 7 * DAY
 _CHANGEPOINTS = 25
 _ITERATIONS = 40
+_TOLERANCE = 1e-6
 
 
 def _seasons(t: np.ndarray) -> list[tuple[float, int]]:
@@ -60,12 +61,14 @@ def fit_predict(t, y, future, changepoint_scale: float, seasonality_scale: float
     prior[:2] = 1.0 / 25.0
     prior[delta] = 1.0 / changepoint_scale**2
 
-    noise = max(np.var(z), 1e-10)
+    noise, theta = max(np.var(z), 1e-10), np.zeros(X.shape[1])
     for _ in range(_ITERATIONS):
         inverse = np.linalg.inv(gram / noise + np.diag(prior))
-        theta = inverse @ moment / noise
+        before, theta = theta, inverse @ moment / noise
         residual = z - X @ theta
         freedom = len(z) - np.sum(inverse * gram) / noise
         noise = max(residual @ residual / max(freedom, 1.0), 1e-10)
         prior[delta] = 1.0 / (changepoint_scale * (np.abs(theta[delta]) + 1e-5))
+        if np.max(np.abs(theta - before)) < _TOLERANCE:
+            break
     return scale * (_design(future, start, span, knots, seasons) @ theta)

@@ -31,7 +31,7 @@ from trafficcast.operators.features import (
     log_target,
 )
 from trafficcast.operators.filters import long_enough
-from trafficcast.session import scratch_path
+from trafficcast.session import staged
 
 
 def boosted_frame(
@@ -76,13 +76,10 @@ def boosted_forecast(
     The frame is written to the shared folder first: each round of the fit reads
     it, and so does a retry after an executor is lost.
     """
-    spark = daily.sparkSession
-    path = scratch_path(spark, "boosted")
     frame = boosted_frame(daily, keys, target, horizons)
     # Horizons multiply the rows after the shuffle by series: spread them over all cores again.
-    spread = frame.repartition(spark.sparkContext.defaultParallelism)
-    spread.write.partitionBy("part").parquet(path)
-    rows = spark.read.parquet(path)
+    spread = frame.repartition(daily.sparkSession.sparkContext.defaultParallelism)
+    rows = staged(spread, "boosted")
     features = [m for m in FEATURE_MEASURES if m != target] + ["weekday", "horizon", "level"]
     trees = GBTRegressor(
         maxDepth=BOOST_DEPTH,

@@ -40,7 +40,7 @@ def model_run_time(fitted: Mapping[str, DataFrame], keys: Sequence[str]) -> Data
         df.groupBy(*keys)
         .agg(F.first("fit_seconds").alias("fit_seconds"))
         .groupBy()
-        .agg(F.round(F.sum("fit_seconds") / 60, 2).alias("run_time"))
+        .agg(F.round(F.coalesce(F.sum("fit_seconds"), F.lit(0.0)) / 60, 2).alias("run_time"))
         .select(F.lit(model).alias("model"), "run_time")
         for model, df in fitted.items()
     ]

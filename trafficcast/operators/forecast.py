@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +23,7 @@ from trafficcast.constants import (
 from trafficcast.functions.additive import fit_predict
 from trafficcast.operators.filters import enough_usable, long_enough
 from trafficcast.operators.outliers import cap_outliers, null_outliers
+from trafficcast.operators.series import placed
 
 
 @dataclass(frozen=True)
@@ -68,7 +69,7 @@ def model_frame(
     training part separately; test rows stay as they are. All of it shares the
     one placement by key.
     """
-    split = holdout_split(series, keys, horizon.delay).withColumn(
+    split = holdout_split(placed(series, keys), keys, horizon.delay).withColumn(
         "y_train", F.when(~F.col("is_test"), F.col("y"))
     )
     framed = long_enough(split, keys, horizon.min_length - 1)
@@ -117,44 +118,56 @@ def additive_fit(
     )
     names = [f.name for f in key_fields]
 
-    def fit_series(group: pd.DataFrame) -> pd.DataFrame:
+    def fit_series(group: pa.Table) -> pa.Table:
         started = time.perf_counter()
-        group = group.sort_values("t")
         t = group["t"].to_numpy()
+        order = np.argsort(t)
+        t = t[order]
+        y, y_full, y_train = (group[c].to_numpy()[order] for c in ("y", "y_full", "y_train"))
+        train = ~group["is_test"].to_numpy()[order]
         steps = step * np.arange(1, delay + 1)
+
         ahead = t[-1] + steps
-        yhat = fit_predict(t, group["y_full"], ahead, changepoint_scale, seasonality_scale)
-        parts = [pd.DataFrame({"kind": "forecast", "t": ahead, "y": np.nan, "yhat": yhat})]
+        yhat = fit_predict(t, y_full, ahead, changepoint_scale, seasonality_scale)
+        parts = [("forecast", ahead, np.full(delay, np.nan), yhat)]
         if validate:
-            train = ~group["is_test"].to_numpy()
-            past = t[train]
-            held = past[-1] + steps
+            held = t[train][-1] + steps
             yhat = fit_predict(
-                past, group["y_train"][train], held, changepoint_scale, seasonality_scale
-            )
-            actual = pd.Series(group["y"].to_numpy()[~train], index=t[~train])
-            paired = pd.DataFrame(
-                {"kind": "valid", "t": held, "y": actual.reindex(held).to_numpy(), "yhat": yhat}
+                t[train], y_train[train], held, changepoint_scale, seasonality_scale
             )
-            parts.append(paired.dropna())
-        out = pd.concat(parts, ignore_index=True)
-        for name in names:
-            out[name] = group[name].iloc[0]
-        out["length"] = len(t)
-        out["fit_seconds"] = time.perf_counter() - started
-        return out[schema.names]
+            # Both ascend, so each held step finds its observed row, if there is one.
+            seen, at_held, at_row = np.intersect1d(held, t, assume_unique=True, return_indices=True)
+            actual, paired = y[at_row], yhat[at_held]
+            known = ~np.isnan(actual)
+            parts.append(("valid", seen[known], actual[known], paired[known]))
+
+        kinds, times, actuals, predictions = zip(*parts)
+        rows = sum(len(p) for p in times)
+        constant = [group[name][0].as_py() for name in names]
+        constant_fields = [group.schema.field(name).type for name in names]
+        columns = [pa.repeat(pa.scalar(v, ty), rows) for v, ty in zip(constant, constant_fields)]
+        columns += [
+            pa.array(np.repeat(kinds, [len(p) for p in times])),
+            pa.array(np.concatenate(times)),
+            pa.array(np.concatenate(actuals), from_pandas=True),
+            pa.array(np.concatenate(predictions)),
+            pa.array(np.full(rows, len(t))),
+            pa.array(np.full(rows, time.perf_counter() - started)),
+        ]
+        return pa.table(columns, names=schema.names)
 
     fitted = (
-        frame.withColumn("t", F.unix_timestamp("ds"))
+        placed(frame, keys)
+        .withColumn("t", F.unix_timestamp("ds"))
         .select(*names, "t", "y", "y_full", "y_train", "is_test")
         .groupBy(*names)
-        .applyInPandas(fit_series, schema)
+        .applyInArrow(fit_series, schema)
     )
     return fitted.select(
         *names,
         "kind",
         F.timestamp_seconds("t").alias("ds"),
-        F.when(F.col("kind") == "valid", F.col("y")).alias("y"),
+        "y",
         "yhat",
         "length",
         "fit_seconds",
@@ -173,7 +186,7 @@ def forecast_only(
     No length gate, but a fit needs enough usable points.
     """
     rule, q = _RULES["cap75"]
-    frame = rule(series, keys, "y", "y_full", q).withColumns(
+    frame = rule(placed(series, keys), keys, "y", "y_full", q).withColumns(
         {"y_train": F.lit(None).cast("double"), "is_test": F.lit(False)}
     )
     frame = enough_usable(frame, keys, ["y_full"], MIN_USABLE_POINTS)

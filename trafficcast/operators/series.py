@@ -100,6 +100,21 @@ def hourly_measures(
 # -- model grain -------------------------------------------------------------
 
 
+def placed(series: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows placed by series, for all that follows per series.
+
+    The count is fixed on purpose: series are small but their fits are not, and
+    a count by size would leave thousands of fits to one task. Placing rows that
+    already are in place costs nothing.
+    """
+    spark = series.sparkSession
+    n = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        spark.sparkContext.defaultParallelism,
+    )
+    return series.repartition(n, *keys)
+
+
 def daily_peak(hourly: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Highest hour of each day.
 
@@ -107,7 +122,7 @@ def daily_peak(hourly: DataFrame, keys: Sequence[str], values: Sequence[str]) ->
     step per series find them in place.
     """
     return (
-        hourly.repartition(*keys)
+        placed(hourly, keys)
         .groupBy(*keys, event_date("time_stamp").alias("date"))
         .agg(*[F.max(v).alias(v) for v in values])
     )
@@ -122,14 +137,18 @@ def daily_peak_measures(
 
 
 def hourly_peak(hourly: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Peak per identical hour; Spark plans it on the aggregate's own partitioning."""
-    return hourly.groupBy(*keys, "time_stamp").agg(*[F.max(v).alias(v) for v in values])
+    """Peak per identical hour."""
+    return (
+        placed(hourly, keys)
+        .groupBy(*keys, "time_stamp")
+        .agg(*[F.max(v).alias(v) for v in values])
+    )
 
 
 def last_points(
     series: DataFrame, keys: Sequence[str], order: str, n: int = HOURLY_TAIL
 ) -> DataFrame:
-    """Last n points of each series; Spark cuts each partition to n before its shuffle."""
+    """Last n points of each series; Spark keeps n rows per key before it sorts the rest."""
     newest = Window.partitionBy(*keys).orderBy(F.col(order).desc())
     return (
         series.withColumn("_rn", F.row_number().over(newest))

@@ -7,7 +7,6 @@ import time
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from trafficcast.constants import DEFAULT_APPS
 from trafficcast.operators.forecast import HORIZONS
@@ -22,20 +21,12 @@ from trafficcast.plans.reports import (
     hourly,
     valid_table,
 )
-from trafficcast.session import scratch_path
+from trafficcast.session import staged
 from trafficcast.sources.sinks import log_run, write_history, write_latest, write_replace
 
 RUN_LOG_TABLE = "run_time_table_agg"
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read back, so that no later step recomputes it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def publish(
     series: DataFrame,
     spec: ReportSpec,
@@ -58,7 +49,7 @@ def publish(
         for kind in ("data", "forecast", "valid", "analyse")
     }
     write_replace(data_table(series, spec, grain), path["data"])
-    fitted = _staged(fit(spark.read.parquet(path["data"]), spec, grain), f"fit-{spec.name}")
+    fitted = staged(fit(spark.read.parquet(path["data"]), spec, grain), f"fit-{spec.name}")
     write_replace(valid_table(fitted, spec), path["valid"])
     write_latest(forecast_table(fitted, spec, run_date), path["forecast"], run_date, replace_forecast)
     write_history(analysis_table(fitted, spec, run_date), path["analyse"], run_date, replace_analysis)
@@ -87,7 +78,7 @@ def run_night(
     wanted = list(reports)
     by_app = None
     if "p9" in wanted and "p10" in wanted:
-        by_app = _staged(hourly(points, attrs, REPORTS["p10"], apps), "hourly-p10")
+        by_app = staged(hourly(points, attrs, REPORTS["p10"], apps), "hourly-p10")
     for name in wanted:
         spec = REPORTS[name]
         if by_app is not None and name == "p10":
@@ -95,7 +86,7 @@ def run_night(
         elif by_app is not None and name == "p9":
             series = with_bandwidth(roll_up_bytes(by_app, spec.keys))
         else:
-            series = _staged(
+            series = staged(
                 hourly(points, attrs, spec, apps, dedupe_latest=dedupe_latest), f"hourly-{name}"
             )
         for horizon in horizons:

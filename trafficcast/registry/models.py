@@ -44,6 +44,7 @@ from trafficcast.registry.sql import (
     metrics,
     trend_chain,
 )
+from trafficcast.session import staged
 from trafficcast.sources.adapters import EVENT_APPS, ORDER_APPS, event_points, order_points
 from trafficcast.sources.ingest import midnight_ms
 
@@ -312,7 +313,7 @@ _TWO_MODELS = (
 def _two_models(spark, folder):
     """Scores of the trend model under the two outlier rules."""
     return {
-        name: trend_of(spark, folder, "p10", "48h", rule)["analyse"]
+        name: staged(trend_of(spark, folder, "p10", "48h", rule)["analyse"], f"scores-{name}")
         for name, rule in {"nulled": "q75", "capped": "cap75"}.items()
     }
 

@@ -15,6 +15,7 @@ from trafficcast.registry.models import trend_of
 from trafficcast.registry.series import data_of, hourly_of
 from trafficcast.registry import sql
 from trafficcast.registry.sql import EVENTS, ORDERS, analysis, data, describe, trend_chain
+from trafficcast.session import staged
 from trafficcast.sources.adapters import EVENT_APPS, event_attributes, event_points, order_points
 from trafficcast.sources.ingest import midnight_ms
 
@@ -52,7 +53,7 @@ def _history(spark, folder, report):
         rows = data_table(hourly(seen, attrs, spec, EVENT_APPS), spec, HORIZONS["48h"])
         one = trend_tables(rows, spec, "48h", night)["analyse"]
         table = one if table is None else table.unionByName(one)
-    return table
+    return staged(table, f"history-{report}")
 
 
 _MONITORED = ("p6", "p9", "p10")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -45,3 +45,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, one per use."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back, so that no later step recomputes it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

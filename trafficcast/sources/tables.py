@@ -13,9 +13,10 @@ def read_datapoints(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(stored(DATAPOINT)).parquet(path)
 
 
-def read_attributes(spark: SparkSession, path: str) -> DataFrame:
-    """Device attributes, cut to the columns the reports join."""
-    return spark.read.schema(stored(ATTRIBUTE)).parquet(path).select(*ATTRIBUTE_COLUMNS)
+def read_attributes(spark: SparkSession, path: str, with_time: bool = False) -> DataFrame:
+    """Device attributes, cut to the columns the reports join; the time only on demand."""
+    extra = ["time_stamp"] if with_time else []
+    return spark.read.schema(stored(ATTRIBUTE)).parquet(path).select(*ATTRIBUTE_COLUMNS, *extra)
 
 
 def open_source(spark: SparkSession, fmt: str, **options) -> DataFrame:
