@@ -49,7 +49,7 @@ def test_without_far_peak_nothing_changes(spark):
 
 
 def test_quantile_of_the_rule_matters(spark):
-    values = [1] * 10 + [4] * 9 + [6]
+    values = [1] * 11 + [4] * 8 + [6]
     assert None in _ys(null_outliers(_series(spark, values), ["k"], "y", "y", 0.5))
     assert None not in _ys(null_outliers(_series(spark, values), ["k"], "y", "y", 0.75))
 

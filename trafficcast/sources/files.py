@@ -19,6 +19,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of the first partition column, from the folder names alone."""
     fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
     names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
 
