@@ -12,10 +12,8 @@ from trafficcast.functions.columns import ape
 
 
 def pair(actual: DataFrame, predicted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Actual values with the prediction for the same time; unmatched rows go."""
-    joined = actual.select(*keys, "ds", "y").join(
-        predicted.select(*keys, "ds", "yhat"), [*keys, "ds"]
-    )
+    """Actual rows with the prediction for the same time; unmatched rows go."""
+    joined = actual.join(predicted.select(*keys, "ds", "yhat"), [*keys, "ds"])
     return joined.filter(F.col("y").isNotNull() & F.col("yhat").isNotNull())
 
 

@@ -27,13 +27,12 @@ def trend_tables(
     test = F.col("is_test")
     ahead = trend_forecast(frame, keys, "y_full", grain)
     held = trend_forecast(frame.filter(~test), keys, "y_train", grain)
-    valid = with_errors(
-        pair(frame.filter(test).select(*keys, "ds", "y"), held, keys)
+    pairs = with_errors(
+        pair(frame.filter(test).select(*keys, "ds", "y", "length"), held, keys)
     )
-    length = frame.groupBy(*keys).agg(F.first("length").alias("length"))
-    scores = error_metrics(valid, keys).join(length, keys)
+    scores = error_metrics(pairs, keys, carry=["length"])
     return {
         "forecast": ahead.withColumn("run_date", F.lit(run_date)),
-        "valid": valid,
+        "valid": pairs.drop("length"),
         "analyse": scores.withColumn("run_date", F.lit(run_date)),
     }
