@@ -11,10 +11,10 @@ from trafficcast.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "local[8]",
+        "local[4]",
         "tests",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",

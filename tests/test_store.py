@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trafficcast.operators.filters import allow_apps
-from trafficcast.plans.nightly import RUN_LOG_TABLE, run_night
+from trafficcast.plans.nightly import RUN_LOG_TABLE, monitor, result_path, run_night
 from trafficcast.plans.reports import REPORTS, report
 from trafficcast.schemas import ATTRIBUTE, DATAPOINT
 from trafficcast.sources import ingest as I
@@ -158,3 +158,14 @@ def test_a_night_writes_what_the_lazy_report_gives(spark, tmp_path):
         assert stored.select(*rounded).exceptAll(want.select(*rounded)).count() == 0
         assert stored.count() == want.count() > 0
     assert allow_apps(points, EVENT_APPS).count() < points.count()
+    seen = monitor(spark, base, "48h")
+    assert {r.report for r in seen.select("report").distinct().collect()} >= {"p9"}
+
+
+def test_without_realtime_only_the_analysis_is_published(spark, tmp_path):
+    folder, base = "/root/testdata/sf0.001", str(tmp_path / "results")
+    points, attrs = event_points(spark, folder), event_attributes(spark, folder)
+    run_night(spark, points, attrs, base, TODAY, ["p8"], ["48h"], EVENT_APPS, realtime=False)
+    spec = REPORTS["p8"]
+    found = {k: table_exists(spark, result_path(base, spec, k, "48h")) for k in ("data", "forecast", "valid", "analyse")}
+    assert found == {"data": False, "forecast": False, "valid": False, "analyse": True}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,46 +22,58 @@ from trafficcast.plans.reports import (
     hourly,
     valid_table,
 )
-from trafficcast.session import staged
+from trafficcast.plans.views import monitoring
+from trafficcast.session import scratch_path
+from trafficcast.sources.files import drop_folder, table_exists
 from trafficcast.sources.sinks import log_run, write_history, write_latest, write_replace
 
 RUN_LOG_TABLE = "run_time_table_agg"
 
 
+def result_path(base: str, spec: ReportSpec, kind: str, horizon: str) -> str:
+    return f"{base.rstrip('/')}/{spec.result_table(kind, horizon)}"
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    write_replace(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def publish(
     series: DataFrame,
     spec: ReportSpec,
     horizon: str,
     base: str,
     run_date: dt.date,
+    scratch: str,
+    realtime: bool = True,
     replace_forecast: bool = False,
     replace_analysis: bool = False,
-) -> None:
-    """Writes the four tables of one report and horizon below `base`, from its hourly series.
+) -> float:
+    """Writes the tables of one report and horizon below `base`; returns the seconds it took.
 
-    The data table is the input of the fit and the staged fit that of the other
+    The data table is the input of the fit and the written fit that of the other
     three, so nothing is computed twice and a lost executor costs its tasks only.
+    Without `realtime` only the analysis is published.
     """
     started = time.monotonic()
-    spark = series.sparkSession
     grain = HORIZONS[horizon]
-    path = {
-        kind: f"{base.rstrip('/')}/{spec.result_table(kind, horizon)}"
-        for kind in ("data", "forecast", "valid", "analyse")
-    }
-    write_replace(data_table(series, spec, grain), path["data"])
-    fitted = staged(fit(spark.read.parquet(path["data"]), spec, grain), f"fit-{spec.name}")
-    write_replace(valid_table(fitted, spec), path["valid"])
-    write_latest(forecast_table(fitted, spec, run_date), path["forecast"], run_date, replace_forecast)
-    write_history(analysis_table(fitted, spec, run_date), path["analyse"], run_date, replace_analysis)
-    log_run(
-        spark,
-        f"{base.rstrip('/')}/{RUN_LOG_TABLE}",
-        f"{spec.name}({spec.table})",
-        horizon,
-        time.monotonic() - started,
-        run_date,
+    staging = f"{scratch}/{spec.name}-{horizon}"
+
+    def path(kind: str) -> str:
+        return result_path(base, spec, kind, horizon)
+
+    data = _written(
+        data_table(series, spec, grain), path("data") if realtime else f"{staging}-data"
     )
+    fitted = _written(fit(data, spec, grain), f"{staging}-fit")
+    if realtime:
+        write_replace(valid_table(fitted, spec), path("valid"))
+        ahead = forecast_table(fitted, spec, run_date)
+        write_latest(ahead, path("forecast"), run_date, replace_forecast)
+    scores = analysis_table(fitted, spec, run_date)
+    write_history(scores, path("analyse"), run_date, replace_analysis)
+    return time.monotonic() - started
 
 
 def run_night(
@@ -73,21 +86,56 @@ def run_night(
     horizons: Sequence[str] = tuple(HORIZONS),
     apps: Sequence[str] = DEFAULT_APPS,
     dedupe_latest: bool = False,
+    realtime: bool = True,
+    at_once: int = 4,
 ) -> None:
-    """All reports. Horizons share the hourly series of a report; p9 is p10 summed over applications."""
+    """All reports. Horizons share the hourly series of a report; p9 is p10 summed over applications.
+
+    Reports do not depend on each other: several are submitted at once, so that
+    one fills the cluster while another finishes its last tasks.
+    """
     wanted = list(reports)
-    by_app = None
-    if "p9" in wanted and "p10" in wanted:
-        by_app = staged(hourly(points, attrs, REPORTS["p10"], apps), "hourly-p10")
-    for name in wanted:
+    scratch = scratch_path(spark, "night")
+    roll_up = "p9" in wanted and "p10" in wanted
+
+    def series_of(name: str) -> DataFrame:
         spec = REPORTS[name]
-        if by_app is not None and name == "p10":
-            series = by_app
-        elif by_app is not None and name == "p9":
-            series = with_bandwidth(roll_up_bytes(by_app, spec.keys))
-        else:
-            series = staged(
-                hourly(points, attrs, spec, apps, dedupe_latest=dedupe_latest), f"hourly-{name}"
+        rows = hourly(points, attrs, spec, apps, dedupe_latest=dedupe_latest)
+        return _written(rows, f"{scratch}/hourly-{name}")
+
+    def one(name: str) -> list[tuple[str, str, float]]:
+        """A report with both horizons, and with the report that is its sum."""
+        started = time.monotonic()
+        series = {name: series_of(name)}
+        shared = time.monotonic() - started
+        if roll_up and name == "p10":
+            coarse = roll_up_bytes(series["p10"], REPORTS["p9"].keys)
+            series["p9"] = _written(with_bandwidth(coarse), f"{scratch}/hourly-p9")
+        return [
+            (
+                report,
+                horizon,
+                shared
+                + publish(rows, REPORTS[report], horizon, base, run_date, scratch, realtime),
             )
-        for horizon in horizons:
-            publish(series, spec, horizon, base, run_date)
+            for report, rows in series.items()
+            for horizon in horizons
+        ]
+
+    try:
+        alone = [name for name in wanted if not (roll_up and name == "p9")]
+        with ThreadPoolExecutor(at_once) as pool:
+            done = [entry for entries in pool.map(one, alone) for entry in entries]
+        # One after another: appends to the same folder must not overlap.
+        for name, horizon, seconds in done:
+            label = f"{name}({REPORTS[name].table})"
+            log_run(spark, f"{base.rstrip('/')}/{RUN_LOG_TABLE}", label, horizon, seconds, run_date)
+    finally:
+        drop_folder(spark, scratch)
+
+
+def monitor(spark: SparkSession, base: str, horizon: str) -> DataFrame:
+    """Monitoring series of every report that has results below `base`."""
+    paths = {n: result_path(base, spec, "analyse", horizon) for n, spec in REPORTS.items()}
+    found = {n: spark.read.parquet(p) for n, p in paths.items() if table_exists(spark, p)}
+    return monitoring(found)

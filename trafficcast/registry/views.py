@@ -8,6 +8,7 @@ from trafficcast.operators.explore import correlations, hour_means, summary
 from trafficcast.operators.filters import before
 from trafficcast.operators.forecast import HORIZONS
 from trafficcast.plans import views
+from trafficcast.plans.exploration import explore
 from trafficcast.plans.reports import REPORTS, data_table, hourly
 from trafficcast.plans.trend import trend_tables
 from trafficcast.registry.core import query
@@ -208,3 +209,33 @@ def hour_means_query(spark, folder):
 )
 def correlation_hour_means(spark, folder):
     return correlations(hour_means_query(spark, folder), _NUMBERS)
+
+
+# One series, as an analyst selects it.
+_KEY = {"application": "A", "source": "s1"}
+_ONE = (
+    f"WITH {ORDERS}, one AS (SELECT * FROM pts WHERE application = 'A' AND source = 's1'"
+    " AND app_rsp_time <> 0), hours AS (SELECT application, source, time_stamp, "
+    f"{_MEANS} FROM one GROUP BY application, source, time_stamp)"
+)
+
+
+def _exploration_query(part, body, kinds):
+    @query(f"explore_{part}", f"{_ONE} {body}", kinds, digits=8)
+    def run(spark, folder):
+        return explore(order_points(spark, folder), "app_rsp_time", _NUMBERS, **_KEY)[part]
+
+
+_exploration_query("rows", _corr_sql("one"), "column_a:s column_b:s corr:d")
+_exploration_query("hours", _corr_sql("hours"), "column_a:s column_b:s corr:d")
+_exploration_query(
+    "summary",
+    describe("hours", "application, source", ["app_rsp_time"]),
+    f"application:s source:s {_SUMMARY_KINDS}",
+)
+_exploration_query(
+    "daily",
+    "SELECT application, source, CAST(epoch_ms(time_stamp) AS DATE) AS date,"
+    " max(app_rsp_time) AS app_rsp_time FROM hours GROUP BY application, source, date",
+    "application:s source:s date:t app_rsp_time:d",
+)

@@ -25,6 +25,10 @@ def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
 
 
-def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
-    fs, p = _fs(spark, f"{path.rstrip('/')}/{column}={value}")
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    drop_folder(spark, f"{path.rstrip('/')}/{column}={value}")
