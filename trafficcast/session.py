@@ -31,15 +31,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master may fall back to a temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None:
+        if not named and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="trafficcast-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="trafficcast-"))
+    return named or context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
