@@ -22,8 +22,8 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="trafficcast")
     parser.add_argument("--format", default="parquet", help="source format")
     parser.add_argument("--option", action="append", default=[], help="source option, key=value")
-    parser.add_argument("--points", required=True, help="path of the measurements")
-    parser.add_argument("--attributes", required=True, help="path of the device attributes")
+    parser.add_argument("--points", required=True, help="path, or database table, of the measurements")
+    parser.add_argument("--attributes", required=True, help="the same of the device attributes")
     parser.add_argument("--store", required=True)
     parser.add_argument("--results", required=True)
     parser.add_argument("--reports", nargs="+", default=list(REPORTS), choices=list(REPORTS))
@@ -36,12 +36,13 @@ def main() -> None:
     spark = build_session()
     today = args.run_date or dt.datetime.now(dt.timezone.utc).date()
     options = dict(o.split("=", 1) for o in args.option)
+    named_by = "dbtable" if args.format == "jdbc" else "path"
     stores = {}
     for name, path, schema, trim in (
         ("datapoint", args.points, DATAPOINT, True),
         ("attribute", args.attributes, ATTRIBUTE, False),
     ):
-        source = open_source(spark, args.format, path=path, **options)
+        source = open_source(spark, args.format, **{named_by: path}, **options)
         stores[name] = f"{args.store.rstrip('/')}/{name}"
         ingest(source, stores[name], schema, today, trim)
 

@@ -87,6 +87,8 @@ def run_night(
     apps: Sequence[str] = DEFAULT_APPS,
     dedupe_latest: bool = False,
     realtime: bool = True,
+    replace_forecast: bool = False,
+    replace_analysis: bool = False,
     at_once: int = 4,
 ) -> None:
     """All reports. Horizons share the hourly series of a report; p9 is p10 summed over applications.
@@ -103,6 +105,19 @@ def run_night(
         rows = hourly(points, attrs, spec, apps, dedupe_latest=dedupe_latest)
         return _written(rows, f"{scratch}/hourly-{name}")
 
+    def written(report: str, rows: DataFrame, horizon: str) -> float:
+        return publish(
+            rows,
+            REPORTS[report],
+            horizon,
+            base,
+            run_date,
+            scratch,
+            realtime,
+            replace_forecast,
+            replace_analysis,
+        )
+
     def one(name: str) -> list[tuple[str, str, float]]:
         """A report with both horizons, and with the report that is its sum."""
         started = time.monotonic()
@@ -112,12 +127,7 @@ def run_night(
             coarse = roll_up_bytes(series["p10"], REPORTS["p9"].keys)
             series["p9"] = _written(with_bandwidth(coarse), f"{scratch}/hourly-p9")
         return [
-            (
-                report,
-                horizon,
-                shared
-                + publish(rows, REPORTS[report], horizon, base, run_date, scratch, realtime),
-            )
+            (report, horizon, shared + written(report, rows, horizon))
             for report, rows in series.items()
             for horizon in horizons
         ]
