@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from trafficcast.session import staged
+
 # The approximate pass misses a rank by at most 1/accuracy of the group.
 _ACCURACY = 10_000
 _MARGIN = 2.0 / _ACCURACY
@@ -25,7 +27,12 @@ _MARGIN = 2.0 / _ACCURACY
 def exact_quantiles(
     df: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float]
 ) -> DataFrame:
-    """One row per group and probability, interpolated linearly: groups..., prob, quantile."""
+    """One row per group and probability, interpolated linearly: groups..., prob, quantile.
+
+    The brackets are computed when this is called and written down, so that their
+    size is known: a few groups are broadcast to the values, which then are not
+    shuffled by group at all, and very many groups are joined by shuffle.
+    """
     groups = list(groups)
     whole = not groups
     if whole:
@@ -34,9 +41,10 @@ def exact_quantiles(
     values = df.select(*groups, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
 
     edges = [max(p - _MARGIN, 0.0) for p in probs] + [min(p + _MARGIN, 1.0) for p in probs]
-    bounds = values.groupBy(*groups).agg(
+    brackets = values.groupBy(*groups).agg(
         F.percentile_approx("_v", edges, _ACCURACY).alias("_edges"), F.count("_v").alias("_n")
     )
+    bounds = staged(brackets, "brackets")
     n = len(probs)
     low = [F.col("_edges")[i] for i in range(n)]
     high = [F.col("_edges")[n + i] for i in range(n)]
