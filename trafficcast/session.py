@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +17,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_shipped: set[str] = set()
+
 
 def build_session(master: str | None = None, app_name: str = "trafficcast", **conf) -> SparkSession:
     """A session with the engine's defaults; master and resources stay the caller's choice."""
@@ -23,21 +27,28 @@ def build_session(master: str | None = None, app_name: str = "trafficcast", **co
         builder = builder.master(master)
     for key, value in {**_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends this package to the executors, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).parent
+        folder = tempfile.mkdtemp(prefix="trafficcast-package-")
+        archive = shutil.make_archive(f"{folder}/trafficcast", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
+    """The folder for intermediate tables, which all executors can reach.
 
-    Only a local master may fall back to a temporary folder.
+    It is what spark.checkpoint.dir names, or else a folder below the warehouse.
     """
-    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir() is None:
-        if not named and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="trafficcast-"))
-    return named or context.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
