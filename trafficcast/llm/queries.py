@@ -9,6 +9,7 @@ from trafficcast.llm.language_id import op2_language_id
 from trafficcast.llm.licenses import op10_license_scan
 from trafficcast.llm.line_dedup import OP4_SQL, op4_line_dedup
 from trafficcast.llm.quality import op7_quality
+from trafficcast.llm.repeats import op8_repeats
 from trafficcast.llm.simhash import op5_simhash
 from trafficcast.llm.token_counts import op1_token_counts
 
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_digests": op6_digests,
     "op7_quality": op7_quality,
+    "op8_repeats": op8_repeats,
     "op9_decontamination": op9_decontamination,
     "op10_license_scan": op10_license_scan,
 }
