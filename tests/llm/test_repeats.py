@@ -34,9 +34,10 @@ def cases(texts):
     ]
 
 
-@pytest.mark.parametrize("group", [20_000, 1])
-def test_removal_equals_brute_force(spark, texts, monkeypatch, group):
+@pytest.mark.parametrize(("group", "hot"), [(20_000, 50_000), (3, 4)])
+def test_removal_equals_brute_force(spark, texts, monkeypatch, group, hot):
     monkeypatch.setattr(repeats, "GROUP", group)
+    monkeypatch.setattr(repeats, "HOT", hot)
     monkeypatch.setattr(repeats, "TOGETHER", 50)
     data = cases(texts)
     expected = slow_removal(data, 200)

@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +35,10 @@ from trafficcast.llm.bytesops import _GOLDEN, mixed, prefix_hash, slices, span_h
 from trafficcast.llm.common import documents, keyed, staged
 
 SPAN = 200
-GRAM = 24
+GRAM = 48
 GROUP = 20_000
+#: Grams with more occurrences than this are counted by Spark's partial aggregates, not in one task.
+HOT = 50_000
 #: Contexts merged at once by one task.
 TOGETHER = 8_000
 #: Size of the bit tables that spare rows which cannot matter; they never decide.
@@ -98,17 +101,49 @@ def _bit_table(hashes: DataFrame) -> bytes:
     return table.astype("<i8").tobytes()
 
 
+def _packed(low: np.ndarray, lead: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """First window's start, the gram's offset from it, and the number of further windows."""
+    return (low.astype(np.int64) << 24) | (lead << 12) | more
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences sorted by gram and context: those whose context repeats, and contested contexts once."""
+    names = ("gram", "context", "mark", "place")
+    held = [np.zeros(0, np.int64)] * 4
+
+    def found(gram, context, mark, place):
+        fresh_gram = np.ones(len(gram), bool)
+        fresh_gram[1:] = gram[1:] != gram[:-1]
+        fresh = fresh_gram.copy()
+        fresh[1:] |= context[1:] != context[:-1]
+        of_context, of_gram = np.cumsum(fresh) - 1, np.cumsum(fresh_gram) - 1
+        n = np.bincount(of_context)[of_context]
+        kinds = np.bincount(of_gram, weights=fresh).astype(np.int64)[of_gram]
+        whole, rival = np.flatnonzero(n > 1), np.flatnonzero(fresh & (kinds > 1))
+        at = np.concatenate([whole, rival])
+        flag = np.arange(len(at)) >= len(whole)
+        return pa.RecordBatch.from_arrays([pa.array(x[at]) for x in (mark, gram, context, place, n)] + [pa.array(flag)], names=["mark", "gram", "context", "place", "n", "contested"])
+
+    for batch in batches:
+        held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, names, strict=True)]
+        cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
+        if cut:
+            yield found(*(h[:cut] for h in held))
+            held = [h[cut:] for h in held]
+    if len(held[0]):
+        yield found(*held)
+
+
 def _occurrence(key: np.ndarray, low: np.ndarray) -> np.ndarray:
     return mixed(key.view(np.uint64) ^ mixed(low.astype(np.uint64)))
 
 
-def _scan(marked: DataFrame, what: str, span: int, gram: int, table: bytes = b"") -> DataFrame:
+def _scan(marked: DataFrame, what: str, span: int, gram: int, table: bytes = b"", hot: bytes = b"") -> DataFrame:
     """One pass over the texts: grams, the occurrences the table has, or the contexts' bytes."""
-    kind = marked.schema["key"].dataType.simpleString()
     schemas = {
         "grams": "h long",
-        "places": f"key {kind}, mark long, gram long, context long, at int, low int, high int",
-        "bytes": "mark long, gram long, context long, lead int, low int, bytes binary",
+        "places": "mark long, gram long, context long, place long, hot boolean",
+        "bytes": "gram long, context long, lead int, bytes binary",
     }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,16 +157,16 @@ def _scan(marked: DataFrame, what: str, span: int, gram: int, table: bytes = b""
                 start = c.offsets[c.owner]
                 low = c.low - start
                 keep = np.flatnonzero(_has(table, c.gram if what == "places" else _occurrence(mark, low)))
-                longs = [pa.array(x[keep]) for x in (mark, c.gram.view(np.int64), c.context.view(np.int64))]
+                longs = [pa.array(x[keep].view(np.int64)) for x in (c.gram, c.context)]
                 if what == "places":
-                    ints = [pa.array((x - start)[keep].astype(np.int32)) for x in (c.at, c.low, c.high)]
-                    keys = part.column("key").take(pa.array(c.owner[keep]))
-                    yield pa.RecordBatch.from_arrays([keys, *longs, *ints], names=["key", "mark", "gram", "context", "at", "low", "high"])
+                    often = pa.array(_has(hot, c.gram[keep]))
+                    place = pa.array(_packed(low, c.at - c.low, c.high - c.low)[keep])
+                    yield pa.RecordBatch.from_arrays([pa.array(mark[keep]), *longs, place, often], names=["mark", "gram", "context", "place", "hot"])
                 else:
-                    ints = [pa.array(x[keep].astype(np.int32)) for x in (c.at - c.low, low)]
                     raw = c.data.tobytes()
                     texts = [raw[a:b] for a, b in zip(c.low[keep].tolist(), (c.high[keep] + span).tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([*longs, *ints, pa.array(texts, pa.binary())], names=["mark", "gram", "context", "lead", "low", "bytes"])
+                    lead = pa.array((c.at - c.low)[keep].astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([*longs, lead, pa.array(texts, pa.binary())], names=["gram", "context", "lead", "bytes"])
 
     return marked.mapInArrow(run, schemas[what])
 
@@ -178,107 +213,121 @@ def _merged(span: int, gram: int):
     """Streams groups of contexts, sorted by gram; gives (gram, context, from, to) window starts."""
     back = span - gram
 
+    def batch_of(grams, contexts, starts, ends, one=None, two=None) -> pa.RecordBatch:
+        hashes = [pa.nulls(len(grams), pa.int64()) if x is None else pa.array(x.view(np.int64)) for x in (one, two)]
+        ints = [pa.array(x.astype(np.int32)) for x in (starts, ends)]
+        return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(contexts), *ints, *hashes], names=["gram", "context", "from", "to", "w1", "w2"])
+
     def resolve(rows: list) -> pa.RecordBatch:
+        # The bit table may let through further places of a context; one of each is compared.
+        rows = list({(r[0], r[1]): r for r in rows}.values())
         grams = np.array([r[0] for r in rows])
         found = repeated_columns(grams, np.array([r[2] for r in rows]), [r[3] for r in rows], span, gram)
         edge = np.zeros((len(rows), 1), bool)
         steps = np.diff(np.concatenate([edge, found, edge], axis=1).astype(np.int8), axis=1)
         row, begin = np.nonzero(steps == 1)
         end = np.nonzero(steps == -1)[1]
-        contexts = np.array([r[1] for r in rows])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(grams[row]), pa.array(contexts[row]), pa.array((begin - back).astype(np.int32)), pa.array((end - 1 - back).astype(np.int32))],
-            names=["gram", "context", "from", "to"],
-        )
+        return batch_of(grams[row], np.array([r[1] for r in rows])[row], begin - back, end - 1 - back)
+
+    def windows(row) -> pa.RecordBatch:
+        """Every window of a context by two hashes."""
+        name, context, lead, text = row
+        data = np.frombuffer(text, np.uint8)
+        starts = np.arange(len(data) - span + 1)
+        one = span_hash(prefix_hash(data), starts, starts + span)
+        two = span_hash(prefix_hash(data[::-1]), len(data) - span - starts, len(data) - starts)
+        same = np.ones(len(starts), np.int64)
+        return batch_of(same * name, same * context, starts - lead, starts - lead, one, two)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
+        spread = None
         for batch in batches:
-            held += zip(*(batch.column(c).to_pylist() for c in ("gram", "context", "lead", "bytes")), strict=True)
-            while len(held) > TOGETHER:
-                cut = TOGETHER
-                while cut and held[cut][0] == held[cut - 1][0]:
-                    cut -= 1
-                if not cut:
-                    cut = TOGETHER
-                    while cut < len(held) and held[cut][0] == held[cut - 1][0]:
-                        cut += 1
-                    if cut == len(held):
-                        break
-                yield resolve(held[:cut])
-                held = held[cut:]
+            for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "context", "lead", "bytes")), strict=True):
+                if row[0] == spread:
+                    yield windows(row)
+                    continue
+                if held and row[0] != held[-1][0] and len(held) >= TOGETHER:
+                    yield resolve(held)
+                    held = []
+                held.append(row)
+                if len(held) > GROUP and held[-1 - GROUP][0] == row[0]:
+                    spread = row[0]
+                    first = next(i for i, r in enumerate(held) if r[0] == spread)
+                    yield from map(windows, held[first:])
+                    held = held[:first]
         if held:
             yield resolve(held)
 
     return run
 
 
-def _windows(span: int):
-    """Every window of contexts by two hashes, for grams with too many contexts to gather."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for gram, context, lead, text in zip(*(batch.column(c).to_pylist() for c in ("gram", "context", "lead", "bytes")), strict=True):
-                data = np.frombuffer(text, np.uint8)
-                starts = np.arange(len(data) - span + 1)
-                one = span_hash(prefix_hash(data), starts, starts + span)
-                two = span_hash(prefix_hash(data[::-1]), len(data) - span - starts, len(data) - starts)
-                m = len(starts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([gram] * m), pa.array([context] * m), pa.array((starts - lead).astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
-                    names=["gram", "context", "from", "w1", "w2"],
-                )
-
-    return run
-
-
 def repeated_spans(marked: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """(key, mark, start, end): stretches of bytes covered by repeated strings, as found.
+    """(mark, start, end): stretches of bytes covered by repeated strings, as found.
 
-    `marked` has key, mark and text; rows of equal key and mark must not occur twice.
+    `marked` has mark and text; no mark occurs twice.
     """
-    grams = _scan(marked, "grams", span, gram).groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    places = staged(_scan(marked, "places", span, gram, _bit_table(grams)), "places")
-    kinds = places.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("mark", "low")).alias("one"))
-    kinds = staged(kinds, "contexts")
-    several = kinds.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    contested = staged(kinds.join(several, "gram"), "contested")
-    chosen = contested.select("one.mark", "one.low")
-    marks = chosen.mapInArrow(_named_occurrences, "h long")
-    texts = _scan(marked, "bytes", span, gram, _bit_table(marks))
-    exact = contested.select("gram", "context", F.col("one.mark").alias("mark"), F.col("one.low").alias("low"), "kinds")
-    # Two rows of one mark and place would be one and the same text.
-    texts = texts.join(exact, ["gram", "context", "mark", "low"]).select("gram", "context", "lead", "bytes", "kinds")
-    texts = staged(texts, "bytes")
-    normal = texts.where(F.col("kinds") <= GROUP).repartition("gram").sortWithinPartitions("gram")
-    merged = normal.select("gram", "context", "lead", "bytes").mapInArrow(_merged(span, gram), "gram long, context long, `from` int, `to` int")
-    windows = texts.where(F.col("kinds") > GROUP).mapInArrow(_windows(span), "gram long, context long, `from` int, w1 long, w2 long")
+    grams = staged(_scan(marked, "grams", span, gram).groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "grams")
+    places = _scan(marked, "places", span, gram, _bit_table(grams), _bit_table(grams.where(F.col("n") > HOT)))
+    normal = places.where("not hot").select("gram", "context", "mark", "place").repartition("gram").sortWithinPartitions("gram", "context")
+    schema = "mark long, gram long, context long, place long, n long, contested boolean"
+    judged = normal.mapInArrow(_judged, schema)
+    if grams.where(F.col("n") > HOT).limit(1).count():
+        judged = judged.union(_judged_apart(staged(places.where("hot"), "hot")))
+    judged = staged(judged, "judged")
+    contested = judged.where("contested")
+    marks = contested.select("mark", "place").mapInArrow(_named_occurrences, "h long")
+    texts = _scan(marked, "bytes", span, gram, _bit_table(marks)).repartition("gram").sortWithinPartitions("gram")
+    merged = staged(texts.mapInArrow(_merged(span, gram), "gram long, context long, `from` int, `to` int, w1 long, w2 long"), "merged")
     names = ["gram", "from", "w1", "w2"]
+    # Places that the bit table lets through may give a window twice; each context counts once.
+    windows = merged.where("w1 is not null").select("context", *names).distinct()
     often = windows.groupBy(*names).agg(F.count("*").alias("n")).where("n > 1").drop("n")
     counted = windows.join(often, names).select("gram", "context", "from", F.col("from").alias("to"))
-    parts = staged(merged.union(counted), "parts").join(kinds.where("n = 1").select("gram", "context"), ["gram", "context"])
-    whole = places.join(kinds.where("n > 1").select("gram", "context"), ["gram", "context"]).select(
-        "key", "mark", F.col("low").alias("start"), (F.col("high") + span).alias("end")
+    parts = merged.where("w1 is null").select("gram", "context", "from", "to").union(counted)
+    low, lead = F.shiftright("place", 24), F.shiftright("place", 12).bitwiseAND(F.lit(4095))
+    whole = judged.where("n > 1 and not contested").select(
+        "mark", low.alias("start"), (low + F.col("place").bitwiseAND(F.lit(4095)) + span).alias("end")
     )
-    some = places.join(parts, ["gram", "context"]).select(
-        "key", "mark", (F.col("at") + F.col("from")).alias("start"), (F.col("at") + F.col("to") + span).alias("end")
+    some = contested.where("n = 1").join(parts, ["gram", "context"]).select(
+        "mark", (low + lead + F.col("from")).alias("start"), (low + lead + F.col("to") + span).alias("end")
     )
     return whole.union(some)
 
 
+def _judged_apart(places: DataFrame) -> DataFrame:
+    """As _judged, for grams with very many occurrences: grouped counts and joins that Spark can split."""
+    kinds = places.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("mark", "place")).alias("one"))
+    kinds = staged(kinds, "kinds")
+    several = kinds.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    rival = kinds.join(several, "gram").select("one.mark", "gram", "context", "one.place", "n", F.lit(True).alias("contested"))
+    whole = places.join(kinds.where("n > 1").select("gram", "context", "n"), ["gram", "context"])
+    return whole.select("mark", "gram", "context", "place", "n", F.lit(False).alias("contested")).union(rival)
+
+
 def _named_occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        h = _occurrence(batch.column("mark").to_numpy(), batch.column("low").to_numpy().astype(np.int64))
+        h = _occurrence(batch.column("mark").to_numpy(), batch.column("place").to_numpy() >> 24)
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
 
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compressed texts, as they are shuffled whole."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        packed = [press.compress(t.encode()) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("mark"), pa.array(packed, pa.binary())], names=["key", "mark", "packed"])
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdDecompressor()
     for batch in batches:
-        for part in slices(batch, "text"):
-            rows = zip(part.column("text").to_pylist(), part.column("spans").to_pylist(), strict=True)
+        for at in range(0, len(batch), 256):
+            part = batch.slice(at, 256)
+            rows = zip(part.column("packed").to_pylist(), part.column("spans").to_pylist(), strict=True)
             sizes, removed, runs, kept = [], [], [], []
-            for text, spans in rows:
-                data, upto, out, count, gone = text.encode(), 0, [], 0, 0
+            for packed, spans in rows:
+                data, upto, out, count, gone = press.decompress(packed), 0, [], 0, 0
                 for s in sorted((s["start"], s["end"]) for s in spans or ()):
                     if s[0] > upto or not count:
                         count += 1
@@ -302,21 +351,18 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", spa
     other columns are ignored. Writes its steps to the shared folder when called.
     """
     plain = keyed(docs, key, text).withColumn("name", F.xxhash64("key", "text"))
-    # Rows of equal key and text are told apart, and are one another's repeats, by a running number.
-    twice = plain.groupBy("key", "name").agg(F.count("*").alias("n")).where("n > 1")
-    twice = staged(twice, "twice")
-    single = plain.select("key", F.col("name").alias("mark"), "text")
-    marked, again = single, twice.count() > 0
-    if again:
-        marked = single.join(twice, single["key"].eqNullSafe(twice["key"]) & (single["mark"] == twice["name"]), "left_anti")
-        one = single.join(twice, single["key"].eqNullSafe(twice["key"]) & (single["mark"] == twice["name"])).select(single["key"], "mark", "text", "n")
-        one = one.dropDuplicates(["key", "mark"])
-        copies = one.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i"), "mark", "text")
-        marked = staged(marked.union(copies.select("key", F.xxhash64("mark", "i"), "text")), "marked")
-    spans = repeated_spans(marked, span, gram).groupBy("key", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    spans = spans.withColumnsRenamed({"key": "k", "mark": "m"})
-    joined = marked.join(spans, (F.col("mark") == F.col("m")) & F.col("key").eqNullSafe(F.col("k")), "left").select("key", "text", "spans")
+    # Rows that share a name are told apart, and are one another's repeats, by key and a running number.
+    twice = staged(plain.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "twice")
+    marked = plain.select("key", F.col("name").alias("mark"), "text")
+    if twice.limit(1).count():
+        alone = plain.join(twice, "name", "left_anti").select("key", F.col("name").alias("mark"), "text")
+        rows = plain.join(twice, "name").groupBy("key", "name").agg(F.count("*").alias("n"), F.first("text").alias("text"))
+        copies = rows.select("key", "name", "text", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("i"))
+        marked = staged(alone.union(copies.select("key", F.xxhash64("name", "key", "i"), "text")), "marked")
+    spans = repeated_spans(marked, span, gram).groupBy("mark").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     kind = marked.schema["key"].dataType.simpleString()
+    packed = marked.mapInArrow(_squeezed, f"key {kind}, mark long, packed binary")
+    joined = packed.join(spans, "mark", "left").select("key", "packed", "spans")
     found = joined.mapInArrow(_cut, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
     return found.withColumnRenamed("key", key)
 
