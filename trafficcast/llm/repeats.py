@@ -37,8 +37,9 @@ from trafficcast.llm.common import documents, keyed, staged
 SPAN = 200
 GRAM = 48
 GROUP = 20_000
-#: Grams with more occurrences than this are counted by Spark's partial aggregates, not in one task.
+#: Grams with more occurrences than this are dealt out to SALTS tasks first.
 HOT = 50_000
+SALTS = 64
 #: Contexts merged at once by one task.
 TOGETHER = 8_000
 #: Size of the bit tables that spare rows which cannot matter; they never decide.
@@ -107,26 +108,31 @@ def _packed(low: np.ndarray, lead: np.ndarray, more: np.ndarray) -> np.ndarray:
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences sorted by gram and context: those whose context repeats, and contested contexts once."""
-    names = ("gram", "context", "mark", "place")
-    held = [np.zeros(0, np.int64)] * 4
+    """Occurrences sorted by gram, salt and context: those whose context repeats, and each rival context once.
 
-    def found(gram, context, mark, place):
+    Of a gram that is dealt out, every context counts as pending, as other tasks may have more of it.
+    """
+    names = ("gram", "salt", "context", "mark", "place")
+    held = [np.zeros(0, np.int64)] * 5
+
+    def found(gram, salt, context, mark, place):
         fresh_gram = np.ones(len(gram), bool)
-        fresh_gram[1:] = gram[1:] != gram[:-1]
+        fresh_gram[1:] = (gram[1:] != gram[:-1]) | (salt[1:] != salt[:-1])
         fresh = fresh_gram.copy()
         fresh[1:] |= context[1:] != context[:-1]
         of_context, of_gram = np.cumsum(fresh) - 1, np.cumsum(fresh_gram) - 1
         n = np.bincount(of_context)[of_context]
         kinds = np.bincount(of_gram, weights=fresh).astype(np.int64)[of_gram]
-        whole, rival = np.flatnonzero(n > 1), np.flatnonzero(fresh & (kinds > 1))
-        at = np.concatenate([whole, rival])
-        flag = np.arange(len(at)) >= len(whole)
-        return pa.RecordBatch.from_arrays([pa.array(x[at]) for x in (mark, gram, context, place, n)] + [pa.array(flag)], names=["mark", "gram", "context", "place", "n", "contested"])
+        whole, rival = np.flatnonzero(n > 1), np.flatnonzero(fresh & (kinds > 1) & (salt < 0))
+        pending = np.flatnonzero(fresh & (salt >= 0))
+        at = np.concatenate([whole, rival, pending])
+        role = np.repeat(np.array(["whole", "rival", "pending"]), [len(whole), len(rival), len(pending)])
+        return pa.RecordBatch.from_arrays([pa.array(x[at]) for x in (mark, gram, context, place, n)] + [pa.array(role, pa.string())], names=["mark", "gram", "context", "place", "n", "role"])
 
     for batch in batches:
         held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, names, strict=True)]
-        cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
+        changes = np.flatnonzero((held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1]))
+        cut = int(changes[-1]) + 1 if len(changes) else 0
         if cut:
             yield found(*(h[:cut] for h in held))
             held = [h[cut:] for h in held]
@@ -142,7 +148,7 @@ def _scan(marked: DataFrame, what: str, span: int, gram: int, table: bytes = b""
     """One pass over the texts: grams, the occurrences the table has, or the contexts' bytes."""
     schemas = {
         "grams": "h long",
-        "places": "mark long, gram long, context long, place long, hot boolean",
+        "places": "mark long, gram long, context long, place long, salt long",
         "bytes": "gram long, context long, lead int, bytes binary",
     }
 
@@ -159,9 +165,9 @@ def _scan(marked: DataFrame, what: str, span: int, gram: int, table: bytes = b""
                 keep = np.flatnonzero(_has(table, c.gram if what == "places" else _occurrence(mark, low)))
                 longs = [pa.array(x[keep].view(np.int64)) for x in (c.gram, c.context)]
                 if what == "places":
-                    often = pa.array(_has(hot, c.gram[keep]))
+                    salt = np.where(_has(hot, c.gram[keep]), mixed(mark[keep]) % np.uint64(SALTS), np.uint64(2**64 - 1)).astype(np.uint64).view(np.int64)
                     place = pa.array(_packed(low, c.at - c.low, c.high - c.low)[keep])
-                    yield pa.RecordBatch.from_arrays([pa.array(mark[keep]), *longs, place, often], names=["mark", "gram", "context", "place", "hot"])
+                    yield pa.RecordBatch.from_arrays([pa.array(mark[keep]), *longs, place, pa.array(salt)], names=["mark", "gram", "context", "place", "salt"])
                 else:
                     raw = c.data.tobytes()
                     texts = [raw[a:b] for a, b in zip(c.low[keep].tolist(), (c.high[keep] + span).tolist(), strict=True)]
@@ -269,13 +275,21 @@ def repeated_spans(marked: DataFrame, span: int = SPAN, gram: int = GRAM) -> Dat
     """
     grams = staged(_scan(marked, "grams", span, gram).groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "grams")
     places = _scan(marked, "places", span, gram, _bit_table(grams), _bit_table(grams.where(F.col("n") > HOT)))
-    normal = places.where("not hot").select("gram", "context", "mark", "place").repartition("gram").sortWithinPartitions("gram", "context")
-    schema = "mark long, gram long, context long, place long, n long, contested boolean"
-    judged = normal.mapInArrow(_judged, schema)
-    if grams.where(F.col("n") > HOT).limit(1).count():
-        judged = judged.union(_judged_apart(staged(places.where("hot"), "hot")))
+    dealt = places.select("gram", "salt", "context", "mark", "place").repartition("gram", "salt").sortWithinPartitions("gram", "salt", "context")
+    judged = dealt.mapInArrow(_judged, "mark long, gram long, context long, place long, n long, role string")
     judged = staged(judged, "judged")
-    contested = judged.where("contested")
+    contested = judged.where("role = 'rival'").select("mark", "gram", "context", "place", "n")
+    repeated = judged.where("role = 'whole'").select("mark", "place")
+    pending = judged.where("role = 'pending'")
+    if pending.limit(1).count():
+        # At most SALTS rows a context.
+        kinds = pending.groupBy("gram", "context").agg(F.sum("n").alias("n"), F.min(F.struct("mark", "place")).alias("one"))
+        kinds = staged(kinds, "kinds")
+        several = kinds.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
+        contested = contested.union(kinds.join(several, "gram").select("one.mark", "gram", "context", "one.place", "n"))
+        single = pending.where("n = 1").select("gram", "context", "mark", "place")
+        repeated = repeated.union(single.join(kinds.where("n > 1").select("gram", "context"), ["gram", "context"]).select("mark", "place"))
+        contested = staged(contested, "contested")
     marks = contested.select("mark", "place").mapInArrow(_named_occurrences, "h long")
     texts = _scan(marked, "bytes", span, gram, _bit_table(marks)).repartition("gram").sortWithinPartitions("gram")
     merged = staged(texts.mapInArrow(_merged(span, gram), "gram long, context long, `from` int, `to` int, w1 long, w2 long"), "merged")
@@ -286,7 +300,7 @@ def repeated_spans(marked: DataFrame, span: int = SPAN, gram: int = GRAM) -> Dat
     counted = windows.join(often, names).select("gram", "context", "from", F.col("from").alias("to"))
     parts = merged.where("w1 is null").select("gram", "context", "from", "to").union(counted)
     low, lead = F.shiftright("place", 24), F.shiftright("place", 12).bitwiseAND(F.lit(4095))
-    whole = judged.where("n > 1 and not contested").select(
+    whole = repeated.select(
         "mark", low.alias("start"), (low + F.col("place").bitwiseAND(F.lit(4095)) + span).alias("end")
     )
     some = contested.where("n = 1").join(parts, ["gram", "context"]).select(
@@ -295,16 +309,6 @@ def repeated_spans(marked: DataFrame, span: int = SPAN, gram: int = GRAM) -> Dat
     return whole.union(some)
 
 
-def _judged_apart(places: DataFrame) -> DataFrame:
-    """As _judged, for grams with very many occurrences: grouped counts and joins that Spark can split."""
-    kinds = places.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("mark", "place")).alias("one"))
-    kinds = staged(kinds, "kinds")
-    several = kinds.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    rival = kinds.join(several, "gram").select("one.mark", "gram", "context", "one.place", "n", F.lit(True).alias("contested"))
-    whole = places.join(kinds.where("n > 1").select("gram", "context", "n"), ["gram", "context"])
-    return whole.select("mark", "gram", "context", "place", "n", F.lit(False).alias("contested")).union(rival)
-
-
 def _named_occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         h = _occurrence(batch.column("mark").to_numpy(), batch.column("place").to_numpy() >> 24)
