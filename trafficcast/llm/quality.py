@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficcast.llm.bytesops import LOWER, SPACE, WORD, mixed, pick, prefix_hash, slices, span_hash, spans, text_bytes
+from trafficcast.llm.bytesops import LOWER, SPACE, WORD, mixed, prefix_hash, slices, span_hash, spans, text_bytes
 from trafficcast.llm.common import arrow_map, documents, keyed
 
 #: Labelled rows used for fitting, those of the least key hashes: 12,000 rows of some hundred numbers.
@@ -30,7 +30,7 @@ DENSE = SHAPES + 2
 STARTS = (4, 5, 6)
 STRETCH = 8.0
 #: A word needs so many rows of the sample to have a weight.
-RARE = 8
+RARE = 5
 
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[0x41:0x5B] = 0x41
@@ -88,18 +88,26 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_rows(grades: np.ndarray, rows: np.ndarray, words: np.ndarray, shapes: np.ndarray, steps: int = 120, decay: float = 3e-3) -> Model:
-    """Penalised maximum likelihood by adaptive gradient steps over all rows at once."""
+def fit_rows(grades: np.ndarray, sizes: np.ndarray, words: np.ndarray, shapes: np.ndarray, steps: int = 120, decay: float = 3e-3) -> Model:
+    """Penalised maximum likelihood by adaptive gradient steps over all rows at once.
+
+    `sizes` says how many of the consecutive `words` each row has.
+    """
     levels = np.unique(grades)
     cuts = len(levels) - 1
     if cuts < 1:
         return Model(np.zeros(BUCKETS, np.float32), np.zeros(DENSE), np.zeros(0))
     y = np.searchsorted(levels, grades)
+    n = len(y)
     common = np.bincount(words, minlength=BUCKETS) >= RARE
     stay = common[words]
-    rows, words = rows[stay], words[stay]
-    used, words = np.unique(words, return_inverse=True)
-    n, size = len(y), len(used)
+    sizes = np.diff(np.concatenate([[0], np.cumsum(stay)])[np.concatenate([[0], np.cumsum(sizes)])])
+    used = np.flatnonzero(common)
+    place = np.cumsum(common) - 1
+    words = place[words[stay]]
+    size = len(used)
+    full = sizes > 0
+    starts = (np.cumsum(sizes) - sizes)[full]
     # Parameters: word weights, shape weights, first threshold, logarithms of the gaps.
     share = np.cumsum(np.bincount(y, minlength=cuts + 1))[:-1] / n
     start = np.log(share / (1 - share))
@@ -109,7 +117,9 @@ def fit_rows(grades: np.ndarray, rows: np.ndarray, words: np.ndarray, shapes: np
     for step in range(1, steps + 1):
         w, v, t0, gaps = x[:size], x[size : size + DENSE], x[size + DENSE], np.exp(x[size + DENSE + 1 :])
         t = t0 + np.concatenate([[0], np.cumsum(gaps)])
-        s = np.bincount(rows, weights=w[words], minlength=n) + shapes @ v
+        s = shapes @ v
+        if size:
+            s[full] += np.add.reduceat(w[words], starts)
         upper = np.where(y < cuts, _sigmoid(t[np.minimum(y, cuts - 1)] - s), 1.0)
         lower = np.where(y > 0, _sigmoid(t[np.maximum(y - 1, 0)] - s), 0.0)
         p = np.maximum(upper - lower, 1e-12)
@@ -119,7 +129,7 @@ def fit_rows(grades: np.ndarray, rows: np.ndarray, words: np.ndarray, shapes: np
         np.add.at(cut, np.minimum(y, cuts - 1), np.where(y < cuts, -up, 0) / n)
         np.add.at(cut, np.maximum(y - 1, 0), np.where(y > 0, down, 0) / n)
         tail = np.cumsum(cut[::-1])[::-1]
-        slope = np.concatenate([np.bincount(words, weights=pull[rows], minlength=size), shapes.T @ pull, tail[:1], tail[1:] * gaps])
+        slope = np.concatenate([np.bincount(words, weights=np.repeat(pull, sizes), minlength=size), shapes.T @ pull, tail[:1], tail[1:] * gaps])
         slope += penalty * x
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
@@ -160,15 +170,11 @@ def fit(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "t
     table = chosen.mapInArrow(run, "grade int, words array<int>, shapes array<float>").toArrow().combine_chunks()
     if not table.num_rows:
         return fit_rows(np.zeros(0, int), np.zeros(0, int), np.zeros(0, int), np.zeros((0, DENSE)))
+    # Spark hands over rows in the order of partitions, whatever task answers first.
     lists = table.column("words").chunk(0)
-    sizes = np.diff(lists.offsets.to_numpy())
-    words = lists.flatten().to_numpy().astype(np.int64)
-    shapes = table.column("shapes").chunk(0).flatten().to_numpy().astype(np.float64).reshape(-1, DENSE)
-    grades = table.column("grade").to_numpy()
-    # The order in which tasks answer must not show in the last digits.
-    order = np.lexsort((shapes @ np.arange(1, DENSE + 1), sizes, grades))
-    starts = np.cumsum(sizes) - sizes
-    return fit_rows(grades[order], np.repeat(np.arange(len(order)), sizes[order]), pick(words, starts[order], sizes[order]), shapes[order])
+    sizes, words = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
+    shapes = table.column("shapes").chunk(0).flatten().to_numpy().reshape(-1, DENSE).astype(np.float64)
+    return fit_rows(table.column("grade").to_numpy(), sizes, words, shapes)
 
 
 def scores(column: pa.Array, model: Model) -> np.ndarray:
