@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
-import tempfile
 import time
 
 from trafficcast.plans.nightly import run_night
@@ -19,7 +18,7 @@ from trafficcast.operators.boosted import boosted_forecast
 from trafficcast.operators.forecast import HORIZONS
 from trafficcast.operators.series import daily_peak_measures, hourly_measures
 from trafficcast.registry import QUERIES
-from trafficcast.session import build_session
+from trafficcast.session import build_session, scratch_path
 from trafficcast.sources.adapters import EVENT_APPS, event_attributes, event_points, order_points
 from trafficcast.sources.ingest import retained
 
@@ -86,7 +85,7 @@ def main() -> None:
     for name in HEADLINE:
         times[name] = run(QUERIES[name](spark, folder))
 
-    base = tempfile.mkdtemp(prefix="bench-night-")
+    base = scratch_path(spark, "bench-night")
     started = time.perf_counter()
     run_night(
         spark,

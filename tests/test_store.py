@@ -85,6 +85,15 @@ def test_ingest_chooses_by_existence(spark, tmp_path):
     assert _times(read_datapoints(spark, path)) == [MIDNIGHT - 1, MIDNIGHT + 5 * DAY]
 
 
+def test_ingest_after_a_broken_bootstrap(spark, tmp_path):
+    """What a failed job left is no table: the window is taken, not the whole source."""
+    path = tmp_path / "points"
+    (path / "_temporary" / "0").mkdir(parents=True)
+    source = _at(spark, [MIDNIGHT - 100 * DAY, MIDNIGHT - 89 * DAY, MIDNIGHT + 5 * DAY])
+    assert I.ingest(source, str(path), DATAPOINT, TODAY, trim=True) == "bootstrap"
+    assert _times(read_datapoints(spark, str(path))) == [MIDNIGHT - 89 * DAY]
+
+
 def test_attributes_are_never_trimmed(spark, tmp_path):
     path = str(tmp_path / "attrs")
     rows = [(1, None, None, "x", MIDNIGHT - 80 * DAY), (2, None, None, "y", MIDNIGHT + 50 * DAY)]

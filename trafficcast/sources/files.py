@@ -11,9 +11,9 @@ def _fs(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table was written there, that is, whether the folder holds anything."""
+    """Whether a table was written there: files or partitions, not just what a failed job left."""
     fs, p = _fs(spark, path)
-    return fs.exists(p) and len(fs.listStatus(p)) > 0
+    return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
 def partitions(spark: SparkSession, path: str, column: str) -> list[str]:

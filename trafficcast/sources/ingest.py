@@ -80,7 +80,7 @@ def bootstrap(
 
 
 def append_incremental(source: DataFrame, path: str, schema: T.StructType) -> None:
-    """Appends what is newer than the store, in one write that lands whole or not at all."""
+    """Appends what is newer than the store; all of it if the store holds nothing."""
     mark = stored_mark(source.sparkSession, path, schema)
     fresh = source if mark is None else source.filter(F.col("time_stamp") > mark)
     _append(fresh, schema, path)
@@ -121,7 +121,7 @@ def ingest(
 ) -> str:
     """Bootstraps a new table, extends an existing one; measurements are trimmed, attributes never."""
     spark = source.sparkSession
-    if not table_exists(spark, path):
+    if not table_exists(spark, path) or stored_mark(spark, path, schema) is None:
         bootstrap(source, path, schema, today, days)
         return "bootstrap"
     append_incremental(source, path, schema)
