@@ -134,7 +134,7 @@ def test_pipeline_keeps_its_contract(spark):
         assert after.columns == docs.columns
         assert after.join(before, "doc_id", "left_anti").count() == 0
         if name == "near_copies":
-            found = pipeline.simhash.near_duplicates(before, words=5)
+            found = pipeline.near_copies.similar_texts(before)
             assert after.count() == found.select("component_id").distinct().count()
         before = after
     assert pipeline.run(spark, SMALL).count() == before.count()
