@@ -1,10 +1,13 @@
 """Invariants of the additive model."""
 
+import warnings
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from trafficcast.functions import additive
 from trafficcast.functions.additive import DAY, fit_predict
 from trafficcast.operators.forecast import DAYS, HOURS, additive_fit, forecast_only, model_frame
 
@@ -37,6 +40,19 @@ def test_scale_equivariance():
     assert np.allclose(1000 * one, thousand)
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_ten_times_the_rounds_change_nothing(seed, monkeypatch):
+    rng = np.random.default_rng(seed)
+    t = np.arange(90) * (DAY if seed % 2 else HOUR)
+    y = 50 + np.cumsum(rng.normal(0, 1, 90)) if seed % 3 else rng.exponential(5, 90)
+    ahead = t[-1] + (t[1] - t[0]) * np.arange(1, 31)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        once = fit_predict(t, y, ahead, 0.1, 0.05)
+    monkeypatch.setattr(additive, "_ITERATIONS", 10 * additive._ITERATIONS)
+    assert np.array_equal(once, fit_predict(t, y, ahead, 0.1, 0.05))
+
+
 def test_deterministic_and_finite():
     rng = np.random.default_rng(4)
     t, y = np.arange(90) * HOUR, rng.exponential(5, 90)

@@ -31,6 +31,9 @@ def main() -> None:
     parser.add_argument("--apps", nargs="+", default=list(DEFAULT_APPS))
     parser.add_argument("--run-date", type=dt.date.fromisoformat, default=None)
     parser.add_argument("--dedupe-latest", action="store_true", help="one location per attribute id")
+    parser.add_argument("--no-publish", action="store_true", help="score only: no data, forecast or hold-out tables")
+    parser.add_argument("--replace-forecast", action="store_true")
+    parser.add_argument("--replace-analysis", action="store_true")
     args = parser.parse_args()
 
     spark = build_session()
@@ -56,6 +59,9 @@ def main() -> None:
         args.horizons,
         args.apps,
         args.dedupe_latest,
+        realtime=not args.no_publish,
+        replace_forecast=args.replace_forecast,
+        replace_analysis=args.replace_analysis,
     )
     spark.stop()
 

@@ -8,12 +8,15 @@ variance by its residual degrees of freedom.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 
 DAY = 86_400.0
 WEEK = 7 * DAY
 _CHANGEPOINTS = 25
-_ITERATIONS = 40
+#: A guard against endless rounds, not a stopping rule: a fit that meets it says so.
+_ITERATIONS = 4000
 _TOLERANCE = 1e-6
 
 
@@ -71,4 +74,6 @@ def fit_predict(t, y, future, changepoint_scale: float, seasonality_scale: float
         prior[delta] = 1.0 / (changepoint_scale * (np.abs(theta[delta]) + 1e-5))
         if np.max(np.abs(theta - before)) < _TOLERANCE:
             break
+    else:
+        warnings.warn(f"the fit of {len(z)} points did not settle in {_ITERATIONS} rounds", RuntimeWarning, stacklevel=2)
     return scale * (_design(future, start, span, knots, seasons) @ theta)
