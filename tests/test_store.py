@@ -1,8 +1,10 @@
 """Ingest windows, retention, sinks and a whole night, in fresh folders."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from trafficcast.operators.filters import allow_apps
@@ -112,6 +114,61 @@ def test_stream_appends_landed_files_once(spark, tmp_path):
     assert _times(read_datapoints(spark, store)) == [MIDNIGHT, MIDNIGHT + 1, MIDNIGHT + 2]
 
 
+def test_stream_keeps_an_hour_that_lands_in_parts(spark, tmp_path):
+    landing, store, marks = (str(tmp_path / n) for n in ("landing", "store", "marks"))
+    for times in ([MIDNIGHT, MIDNIGHT + 5], [MIDNIGHT, MIDNIGHT + 5], [MIDNIGHT - DAY]):
+        _at(spark, times).write.mode("append").parquet(landing)
+        follow(spark, landing, store, DATAPOINT, marks).awaitTermination()
+    assert _times(read_datapoints(spark, store)) == [MIDNIGHT - DAY, MIDNIGHT, MIDNIGHT, MIDNIGHT + 5, MIDNIGHT + 5]
+
+
+def test_stream_trims_on_request(spark, tmp_path):
+    landing, store, marks = (str(tmp_path / n) for n in ("landing", "store", "marks"))
+    _at(spark, [MIDNIGHT - 91 * DAY, MIDNIGHT - DAY, MIDNIGHT]).write.parquet(landing)
+    follow(spark, landing, store, DATAPOINT, marks, trim=True).awaitTermination()
+    assert _times(read_datapoints(spark, store)) == [MIDNIGHT - DAY, MIDNIGHT]
+
+
+def _half(move):
+    """`move`, but it fails after the latest date."""
+
+    def run(spark, source, target):
+        date = partitions(spark, source, "event_date")[-1]
+        folder = Path(target) / f"event_date={date}"
+        folder.mkdir(parents=True)
+        for file in (Path(source) / folder.name).glob("part-*"):
+            file.rename(folder / file.name)
+        raise OSError("cut off")
+
+    return run
+
+
+def test_repeated_batch_adds_what_is_missing(spark, tmp_path, monkeypatch):
+    landing, store, marks = (str(tmp_path / n) for n in ("landing", "store", "marks"))
+    times = [MIDNIGHT, MIDNIGHT + DAY, MIDNIGHT + 2 * DAY]
+    _at(spark, times).write.parquet(landing)
+    with monkeypatch.context() as m:
+        m.setattr(I, "move_partitions", _half(I.move_partitions))
+        with pytest.raises(StreamingQueryException):
+            follow(spark, landing, store, DATAPOINT, marks).awaitTermination()
+    assert _times(read_datapoints(spark, store)) == times[2:]
+    for _ in range(2):
+        follow(spark, landing, store, DATAPOINT, marks).awaitTermination()
+        assert _times(read_datapoints(spark, store)) == times
+
+
+def test_night_after_a_half_done_append_adds_the_rest(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "points")
+    I.bootstrap(_at(spark, [MIDNIGHT - 1]), path, DATAPOINT, TODAY)
+    times = [MIDNIGHT - 1, MIDNIGHT, MIDNIGHT + DAY, MIDNIGHT + 2 * DAY]
+    with monkeypatch.context() as m:
+        m.setattr(I, "move_partitions", _half(I.move_partitions))
+        with pytest.raises(OSError):
+            I.append_incremental(_at(spark, times), path, DATAPOINT)
+    I.append_incremental(_at(spark, times), path, DATAPOINT)
+    assert _times(read_datapoints(spark, path)) == times
+
+
 def test_csv_header_spaces_go_and_loads_append(spark, tmp_path):
     csv, table = str(tmp_path / "csv"), str(tmp_path / "table")
     spark.range(5).select(F.col("id").alias("time _stamp"), F.lit("x").alias(" app")).write.csv(csv, header=True)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from trafficcast.constants import MS_PER_DAY, RETENTION_DAYS
 from trafficcast.functions.columns import event_date
 from trafficcast.schemas import stored
-from trafficcast.sources.files import drop_partition, partitions, table_exists
+from trafficcast.sources.files import drop_folder, drop_partition, exists, move_partitions, partitions, table_exists, touch
 from trafficcast.sources.tables import pull_window
 
 
@@ -54,10 +54,42 @@ def retained(points: DataFrame, days: int = RETENTION_DAYS) -> DataFrame:
 # -- actions on a stored table -----------------------------------------------
 
 
+def _landing(path: str, name: str) -> str:
+    """Where rows wait before they enter a stored table; no reader of the table looks there."""
+    return f"{path.rstrip('/')}/_landing/{name}"
+
+
+def land(df: DataFrame, schema: T.StructType, path: str, name: str) -> None:
+    """Adds rows to a stored table, once for each name, whole even if an earlier call of the name failed.
+
+    Rows are first written aside and marked ready, then moved file by file, so that a file is either
+    still to be moved or in the table. A call for a name that is ready only moves what is left of it.
+    """
+    spark, aside = df.sparkSession, _landing(path, name)
+    if not exists(spark, f"{aside}/_ready"):
+        dated = align(df, schema).withColumn("event_date", event_date("time_stamp"))
+        # One date may hold most rows: let Spark split large dates and merge small ones.
+        dated = dated.hint("rebalance", "event_date")
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_date").parquet(aside)
+        touch(spark, f"{aside}/_ready")
+    move_partitions(spark, aside, path)
+
+
+def forget(spark: SparkSession, path: str, name: str) -> None:
+    """Drops what `land` remembers of a name, which may then be used anew."""
+    drop_folder(spark, _landing(path, name))
+
+
+def _settle(spark: SparkSession, path: str) -> None:
+    """Moves what a failed append had ready; without this the mark would hide it for good."""
+    if exists(spark, f"{_landing(path, 'append')}/_ready"):
+        move_partitions(spark, _landing(path, "append"), path)
+        forget(spark, path, "append")
+
+
 def _append(df: DataFrame, schema: T.StructType, path: str) -> None:
-    dated = align(df, schema).withColumn("event_date", event_date("time_stamp"))
-    # One date may hold most rows: let Spark split large dates and merge small ones.
-    dated.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(path)
+    land(df, schema, path, "append")
+    forget(df.sparkSession, path, "append")
 
 
 def stored_mark(spark: SparkSession, path: str, schema: T.StructType) -> int | None:
@@ -76,11 +108,13 @@ def stored_mark(spark: SparkSession, path: str, schema: T.StructType) -> int | N
 def bootstrap(
     source: DataFrame, path: str, schema: T.StructType, today: dt.date, days: int = RETENTION_DAYS
 ) -> None:
+    _settle(source.sparkSession, path)
     _append(bootstrap_window(source, today, days), schema, path)
 
 
 def append_incremental(source: DataFrame, path: str, schema: T.StructType) -> None:
     """Appends what is newer than the store; all of it if the store holds nothing."""
+    _settle(source.sparkSession, path)
     mark = stored_mark(source.sparkSession, path, schema)
     fresh = source if mark is None else source.filter(F.col("time_stamp") > mark)
     _append(fresh, schema, path)
@@ -121,6 +155,7 @@ def ingest(
 ) -> str:
     """Bootstraps a new table, extends an existing one; measurements are trimmed, attributes never."""
     spark = source.sparkSession
+    _settle(spark, path)
     if not table_exists(spark, path) or stored_mark(spark, path, schema) is None:
         bootstrap(source, path, schema, today, days)
         return "bootstrap"

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from trafficcast.sources.ingest import append_incremental
+from trafficcast.sources.ingest import forget, land, retain
 
 
 def follow(
@@ -16,15 +18,24 @@ def follow(
     schema: T.StructType,
     checkpoint: str,
     fmt: str = "parquet",
+    trim: bool = False,
 ) -> StreamingQuery:
     """Appends what has landed since the last call, then ends.
 
-    Each batch keeps the rule of the nightly append: only rows above the stored
-    mark are taken. A batch repeated after a failure therefore adds nothing twice.
+    Every landed row is added, also one of an hour or day that is stored already: the checkpoint, not
+    the stored mark, knows what is new. Batches land under their own number, so that one repeated after
+    a failure adds what is missing and nothing twice. With `trim`, each batch is followed by the
+    retention of the nightly append; without it the store keeps everything.
     """
 
-    def append(batch: DataFrame, _: int) -> None:
-        append_incremental(batch, store, schema)
+    def append(batch: DataFrame, number: int) -> None:
+        # The stream's own id: another stream, or a new checkpoint in the old place, counts from 0 again.
+        stream = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0])["id"]
+        land(batch, schema, store, f"{stream}-{number}")
+        if number:
+            forget(spark, store, f"{stream}-{number - 1}")
+        if trim:
+            retain(spark, store, schema)
 
     landed = spark.readStream.format(fmt).schema(schema).load(landing)
     return (
