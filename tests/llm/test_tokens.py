@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import ODD, SMALL, frame, fuzz
-from trafficcast.llm import bpe
+from trafficcast.llm import bpe, bytesops
 from trafficcast.llm.token_counts import count_slice, op1_token_counts, token_counts
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -72,3 +72,31 @@ def test_empty_table_and_null_key(spark):
 def test_queries_cover_the_table(spark):
     assert op1_token_counts(spark, SMALL).count() == 200
     assert bpe.op3_bpe(spark, SMALL).count() == 200
+
+
+def _twins(letters, size):
+    """A Thue-Morse string and its complement, which any polynomial modulo a power of two takes for one."""
+    bits = [bin(i).count("1") % 2 for i in range(size)]
+    return ["".join(letters[b ^ flip] for b in bits) for flip in (0, 1)]
+
+
+@pytest.mark.parametrize("letters", ["es", "ab", "th", "xq", "01"])
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_equal_hashes_are_not_taken_for_equal_texts(letters, size):
+    texts = _twins(letters, size) * 2
+    counts = [len(e) for e in Tokenizer.from_file(BYTES).encode_batch(texts, add_special_tokens=False)]
+    ids = [e.ids for e in Tokenizer.from_file(WORDS).encode_batch(texts, add_special_tokens=False)]
+    vocab = bpe.vocabulary(WORDS)
+    assert count_slice(pa.array(texts), BYTES).tolist() == counts
+    assert bpe.encode_slice(pa.array(texts), vocab).to_pylist() == ids
+    for i, text in enumerate(texts):
+        assert count_slice(pa.array([text]), BYTES).tolist() == [counts[i]]
+        assert bpe.encode_slice(pa.array([text]), vocab).to_pylist() == [ids[i]]
+
+
+def test_spans_of_equal_hash_are_told_apart():
+    texts = [*_twins("es", 1024), "a", "b", "a", "", _twins("es", 1024)[1]]
+    data, offsets = bytesops.text_bytes(pa.array(texts))
+    first, back = bytesops.distinct_spans(data, offsets[:-1], offsets[1:])
+    assert [texts[i] for i in first[back]] == texts
+    assert len(first) == len(set(texts))

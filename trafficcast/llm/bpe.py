@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficcast.llm.bytesops import SPACE, pick, prefix_hash, slices, span_hash, spans, text_bytes
+from trafficcast.llm.bytesops import SPACE, distinct_spans, pick, slices, spans, text_bytes
 from trafficcast.llm.common import arrow_map, documents, keyed
 
 #: Ids of remembered runs kept by one worker.
@@ -90,7 +90,7 @@ class Vocabulary:
         self.shown_bytes = np.frombuffer(b"".join(raw), np.uint8)
         self.shown_length = np.array([len(x) for x in raw], np.int64)
         self.shown_start = np.cumsum(self.shown_length) - self.shown_length
-        self.cache: dict[int, int] = {}
+        self.cache: dict[bytes, int] = {}
         self._reset()
 
     def _edges(self) -> None:
@@ -243,9 +243,9 @@ class Vocabulary:
         self.run_start: list[int] = []
         self.run_length: list[int] = []
 
-    def learn(self, names: list[int], texts: list[str]) -> None:
+    def learn(self, names: list[bytes]) -> None:
         """Encodes unseen runs and remembers their ids."""
-        parts = [list(self.pieces(t)) for t in texts]
+        parts = [list(self.pieces(x.decode("utf-8", "replace"))) for x in names]
         letters, known = self.letters, self.known_words
         new = {w for part in parts for special, w in part if not special and w not in known}
         words = list(new)
@@ -279,15 +279,10 @@ def encode_slice(column: pa.Array, vocab: Vocabulary) -> pa.Array:
     starts, ends, owner = spans(~SPACE[data], offsets)
     if vocab.used > CACHE_IDS:
         vocab._reset()
-    values, first, back = np.unique(
-        span_hash(prefix_hash(data), starts, ends), return_index=True, return_inverse=True
-    )
-    names, raw, cache = values.tolist(), data.tobytes(), vocab.cache
-    unseen = [i for i, name in enumerate(names) if name not in cache]
-    vocab.learn(
-        [names[i] for i in unseen],
-        [raw[starts[first[i]] : ends[first[i]]].decode("utf-8", "replace") for i in unseen],
-    )
+    first, back = distinct_spans(data, starts, ends)
+    raw, cache = data.tobytes(), vocab.cache
+    names = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+    vocab.learn([name for name in names if name not in cache])
     runs = np.array([cache[name] for name in names], np.int64)
     lengths = np.array(vocab.run_length, np.int64)[runs][back]
     ids = pick(vocab.flat, np.array(vocab.run_start, np.int64)[runs][back], lengths)

@@ -4,7 +4,7 @@ Texts reach Python in Arrow batches and are cut into slices balanced by bytes. E
 split where no token can reach across: before a space or line feed that follows a character other
 than white space. The pre-tokenizer of a byte-level BPE lets white space only start a token, and
 its look-ahead only asks about white space, so the pieces are encoded alike alone and together.
-Equal pieces are encoded once per worker; the encoder returns lengths only. A text without such a
+Pieces of equal bytes are encoded once, short ones once per worker; the encoder returns lengths only. A text without such a
 place stays whole.
 """
 
@@ -18,11 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficcast.llm.bytesops import byte_class, prefix_hash, slices, span_hash, text_bytes
+from trafficcast.llm.bytesops import byte_class, distinct_spans, slices, text_bytes
 from trafficcast.llm.common import arrow_map, documents, keyed
 
-#: Pieces remembered by one worker, and bytes handed to the encoder at once.
-CACHE = 1 << 20
+#: Pieces remembered by one worker, the bytes of the longest of them, and bytes handed to the encoder at once.
+CACHE = 1 << 19
+REMEMBERED = 64
 ENCODE_BYTES = 1 << 19
 
 _BREAK = byte_class((0x20, 0x20), (0x0A, 0x0A))
@@ -82,17 +83,15 @@ def count_slice(column: pa.Array, path: str) -> np.ndarray:
     if not len(starts):
         return np.zeros(len(column), np.int64)
     ends = np.append(starts[1:], len(data))
-    values, first, back = np.unique(
-        span_hash(prefix_hash(data), starts, ends), return_index=True, return_inverse=True
-    )
+    first, back = distinct_spans(data, starts, ends)
     if len(cache) > CACHE:
         cache.clear()
-    names = values.tolist()
-    unseen = [i for i, name in enumerate(names) if name not in cache]
     raw = data.tobytes()
-    texts = [raw[starts[first[i]] : ends[first[i]]].decode("utf-8", "replace") for i in unseen]
-    cache.update(zip([names[i] for i in unseen], _lengths(encoder, texts), strict=True))
-    counts = np.array([cache[name] for name in names], np.int64)[back]
+    names = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+    unseen = [name for name in names if name not in cache]
+    new = dict(zip(unseen, _lengths(encoder, [x.decode("utf-8", "replace") for x in unseen]), strict=True))
+    counts = np.array([new[x] if x in new else cache[x] for x in names], np.int64)[back]
+    cache.update((x, n) for x, n in new.items() if len(x) <= REMEMBERED)
     running = np.concatenate([[0], np.cumsum(counts)])
     return np.diff(running[np.searchsorted(starts, offsets)])
 
