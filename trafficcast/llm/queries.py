@@ -5,6 +5,7 @@ from __future__ import annotations
 from trafficcast.llm.bpe import op3_bpe
 from trafficcast.llm.decontaminate import op9_decontamination
 from trafficcast.llm.doc_digest import op6_digests
+from trafficcast.llm.divergence import OP12_SQL, op12_source_divergence
 from trafficcast.llm.exact_dedup import OP13_SQL, op13_exact_dedup
 from trafficcast.llm.language_id import op2_language_id
 from trafficcast.llm.licenses import op10_license_scan
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_decontamination": op9_decontamination,
     "op10_license_scan": op10_license_scan,
+    "op12_source_divergence": op12_source_divergence,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLES = {
     "op4_line_dedup": OP4_SQL,
+    "op12_source_divergence": OP12_SQL,
     "op13_exact_dedup": OP13_SQL,
 }
