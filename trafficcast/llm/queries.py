@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from trafficcast.llm.bpe import op3_bpe
+from trafficcast.llm.collocations import OP11_SQL, op11_collocations
 from trafficcast.llm.decontaminate import op9_decontamination
 from trafficcast.llm.doc_digest import op6_digests
 from trafficcast.llm.divergence import OP12_SQL, op12_source_divergence
@@ -26,12 +27,14 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_decontamination": op9_decontamination,
     "op10_license_scan": op10_license_scan,
+    "op11_collocations": op11_collocations,
     "op12_source_divergence": op12_source_divergence,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLES = {
     "op4_line_dedup": OP4_SQL,
+    "op11_collocations": OP11_SQL,
     "op12_source_divergence": OP12_SQL,
     "op13_exact_dedup": OP13_SQL,
 }
