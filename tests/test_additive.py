@@ -1,7 +1,5 @@
 """Invariants of the additive model."""
 
-import warnings
-
 import numpy as np
 import pandas as pd
 import pytest
@@ -9,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trafficcast.functions import additive
 from trafficcast.functions.additive import DAY, fit_predict
-from trafficcast.operators.forecast import DAYS, HOURS, additive_fit, forecast_only, model_frame
+from trafficcast.operators.forecast import DAYS, HOURS, additive_fit, additive_models, forecast_only, model_frame, score_models
 
 HOUR = 3600.0
 WEEKLY = np.array([0, 1, 3, -2, 5, 2, -4])
@@ -40,17 +38,56 @@ def test_scale_equivariance():
     assert np.allclose(1000 * one, thousand)
 
 
-@pytest.mark.parametrize("seed", range(12))
-def test_ten_times_the_rounds_change_nothing(seed, monkeypatch):
+def _some_series(seed):
+    rng = np.random.default_rng(seed)
+    n = int(rng.choice([12, 30, 61, 90]))
+    t = np.sort(rng.choice(200, n, replace=False)) * (DAY if seed % 2 else HOUR)
+    y = [
+        50 + np.cumsum(rng.normal(0, 1, n)),
+        rng.exponential(5, n),
+        100 + 0.3 * np.arange(n) + 3 * np.sin(2 * np.pi * np.arange(n) / 7),
+        rng.integers(0, 3, n).astype(float),
+    ][seed % 4]
+    y[rng.random(n) < (0.2 if seed % 5 == 0 else 0)] = np.nan
+    return t, y
+
+
+@pytest.mark.parametrize("seed", [*range(40), 60, 300])
+def test_every_fit_is_proven_optimal(seed):
+    found = additive.fit(*_some_series(seed), (0.03, 0.1, 0.2, 0.5)[seed % 4], 0.05 if seed % 2 else 0.2)
+    assert found.converged and found.gap <= additive.GAP
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_lasso_is_the_minimum(seed):
+    """The gap bounds the distance to any other point, and nothing near is better."""
     rng = np.random.default_rng(seed)
-    t = np.arange(90) * (DAY if seed % 2 else HOUR)
-    y = 50 + np.cumsum(rng.normal(0, 1, 90)) if seed % 3 else rng.exponential(5, 90)
-    ahead = t[-1] + (t[1] - t[0]) * np.arange(1, 31)
-    with warnings.catch_warnings():
-        warnings.simplefilter("error")
-        once = fit_predict(t, y, ahead, 0.1, 0.05)
-    monkeypatch.setattr(additive, "_ITERATIONS", 10 * additive._ITERATIONS)
-    assert np.array_equal(once, fit_predict(t, y, ahead, 0.1, 0.05))
+    n, weight = int(rng.integers(1, 12)), float(rng.uniform(0.1, 3))
+    root = rng.normal(size=(n, n)) @ np.diag(10.0 ** rng.uniform(-3, 1, n))
+    A, b = root.T @ root + 1e-6 * np.eye(n), rng.normal(0, 2, n)
+
+    def value(v):
+        return v @ A @ v / 2 - b @ v + weight * np.abs(v).sum()
+
+    x, gap = additive.lasso(A, b, weight)
+    slack = 1e-9 * max(1, abs(value(x)))
+    assert gap <= slack
+    for _ in range(300):
+        assert value(x) <= value(x + rng.normal(0, 10.0 ** rng.uniform(-6, 0), n)) + slack
+    slow = np.zeros(n)
+    for _ in range(200):
+        slow = additive._sweep(A, b, weight, slow)
+    assert value(x) <= value(slow) + slack
+
+
+def test_a_broken_line_gives_few_slope_changes():
+    t = np.arange(90) * DAY
+    y = 100 + np.where(np.arange(90) < 36, 0.5 * np.arange(90), 18 + 2.0 * (np.arange(90) - 36))
+    y = y + np.random.default_rng(1).normal(0, 0.2, 90)
+    found = additive.fit(t, y, 0.1, 0.05)
+    assert found.converged and np.count_nonzero(found.bends) < len(found.bends) / 2
+    assert abs(found.knots[np.abs(found.bends).argmax()] * 89 - 36) <= 3
+    assert np.allclose(additive.predict(found, t), y, rtol=0.02)
 
 
 def test_deterministic_and_finite():
@@ -171,3 +208,36 @@ def test_too_few_usable_points_give_no_rows(spark):
     series = _frame(spark, "a", _days(70), values).withColumn("y", F.when(~F.isnan("y"), F.col("y")))
     frame = model_frame(series, ["source"], DAYS, "q75", min_usable=10)
     assert frame.count() == 0
+
+
+def test_fits_show_their_gap(spark):
+    rng = np.random.default_rng(8)
+    out = _fit(_frame(spark, "a", _days(90), 40 + rng.normal(0, 4, 90))).toPandas()
+    assert out.converged.all() and (out.gap <= additive.GAP).all()
+
+
+@pytest.mark.parametrize("horizon", [DAYS, HOURS])
+def test_stored_models_forecast_like_the_fit(spark, horizon, tmp_path):
+    rng = np.random.default_rng(9)
+    series = None
+    for i in range(3):
+        times = pd.date_range("2024-01-01", periods=95, freq="D" if horizon is DAYS else "h")
+        one = _frame(spark, f"s{i}", times, 50 + np.cumsum(rng.normal(0, 1, 95)))
+        series = one if series is None else series.union(one)
+    frame = model_frame(series, ["source"], horizon)
+    path = str(tmp_path / "models")
+    additive_models(frame, ["source"], horizon, 0.1, 0.05).write.parquet(path)
+    scored = score_models(spark.read.parquet(path), ["source"], horizon).toPandas()
+    fitted = additive_fit(frame, ["source"], horizon, 0.1, 0.05).filter("kind = 'forecast'").toPandas()
+    both = scored.merge(fitted, on=["source", "ds"], suffixes=("", "_fit"))
+    assert len(both) == len(scored) == len(fitted) == 3 * horizon.delay
+    assert np.allclose(both.yhat, both.yhat_fit, rtol=1e-12)
+
+
+def test_models_may_be_asked_for_later_steps(spark):
+    series = _frame(spark, "a", _days(100), _linear_weekly(np.arange(100)))
+    models = additive_models(model_frame(series, ["source"], DAYS), ["source"], DAYS, 0.1, 0.05)
+    later = score_models(models, ["source"], DAYS, after=pd.Timestamp("2024-05-01").date(), steps=7).toPandas()
+    days = (later.ds - pd.Timestamp("2024-01-01")).dt.days.to_numpy()
+    assert sorted(days) == list(range(122, 129))
+    assert np.allclose(later.yhat, _linear_weekly(days), rtol=1e-2)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -20,7 +21,7 @@ from trafficcast.constants import (
     MIN_USABLE_POINTS,
     POINT_LIMIT,
 )
-from trafficcast.functions.additive import fit_predict
+from trafficcast.functions.additive import GAP, fit, predict
 from trafficcast.operators.filters import enough_usable, long_enough
 from trafficcast.operators.outliers import cap_outliers, null_outliers
 from trafficcast.operators.series import placed
@@ -95,12 +96,13 @@ def additive_fit(
     seasonality_scale: float,
     validate: bool = True,
 ) -> DataFrame:
-    """Forecast and hold-out rows of every series: keys..., kind, ds, y, yhat, length, fit_seconds.
+    """Forecast and hold-out rows of every series: keys..., kind, ds, y, yhat, length, fit_seconds, gap, converged.
 
     One Arrow hand-off per series does both fits. A series is bounded by the
     hours kept in the store, however much traffic its key carries. Hold-out
     predictions cover the calendar steps after the training part; those that
-    meet an observed test row become validation rows.
+    meet an observed test row become validation rows. `gap` is the larger relative
+    duality gap of the two fits, and `converged` whether it is small enough.
     """
     keys = list(keys)
     delay, step = horizon.delay, horizon.step
@@ -114,6 +116,7 @@ def additive_fit(
             T.StructField("yhat", T.DoubleType()),
             T.StructField("length", T.LongType()),
             T.StructField("fit_seconds", T.DoubleType()),
+            T.StructField("gap", T.DoubleType()),
         ]
     )
     names = [f.name for f in key_fields]
@@ -128,13 +131,12 @@ def additive_fit(
         steps = step * np.arange(1, delay + 1)
 
         ahead = t[-1] + steps
-        yhat = fit_predict(t, y_full, ahead, changepoint_scale, seasonality_scale)
-        parts = [("forecast", ahead, np.full(delay, np.nan), yhat)]
+        models = [fit(t, y_full, changepoint_scale, seasonality_scale)]
+        parts = [("forecast", ahead, np.full(delay, np.nan), predict(models[0], ahead))]
         if validate:
             held = t[train][-1] + steps
-            yhat = fit_predict(
-                t[train], y_train[train], held, changepoint_scale, seasonality_scale
-            )
+            models.append(fit(t[train], y_train[train], changepoint_scale, seasonality_scale))
+            yhat = predict(models[1], held)
             # Both ascend, so each held step finds its observed row, if there is one.
             seen, at_held, at_row = np.intersect1d(held, t, assume_unique=True, return_indices=True)
             actual, paired = y[at_row], yhat[at_held]
@@ -153,6 +155,7 @@ def additive_fit(
             pa.array(np.concatenate(predictions)),
             pa.array(np.full(rows, len(t))),
             pa.array(np.full(rows, time.perf_counter() - started)),
+            pa.array(np.full(rows, max(m.gap for m in models))),
         ]
         return pa.table(columns, names=schema.names)
 
@@ -171,8 +174,99 @@ def additive_fit(
         "yhat",
         "length",
         "fit_seconds",
+        "gap",
+        (F.col("gap") <= GAP).alias("converged"),
+    )
+
+
+_MODEL = (
+    "last long, start double, span double, scale double, level double, slope double, knots array<double>,"
+    " bends array<double>, waves array<struct<period: double, multiple: int, sine: double, cosine: double>>,"
+    " gap double, converged boolean, length long, fit_seconds double"
+)
+
+
+def additive_models(
+    frame: DataFrame,
+    keys: Sequence[str],
+    horizon: Horizon,
+    changepoint_scale: float,
+    seasonality_scale: float,
+) -> DataFrame:
+    """The fitted model of every series as one row, to be stored and scored any time.
+
+    Columns: keys..., the last time seen (epoch seconds), the trend by its level, slope, knots and
+    bends over (time - start) / span, the weights of all waves, the scale of it all, and how well
+    the fit ended.
+    """
+    key_fields = [f for f in frame.schema.fields if f.name in keys]
+    names = [f.name for f in key_fields]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in key_fields] + T.StructType.fromDDL(_MODEL).fields)
+
+    def fit_series(group: pa.Table) -> pa.Table:
+        started = time.perf_counter()
+        group = group.sort_by("t")
+        t = group["t"].to_numpy()
+        model = fit(t, group["y_full"].to_numpy(), changepoint_scale, seasonality_scale)
+        row = {name: group[name][0].as_py() for name in names} | {
+            "last": int(t[-1]),
+            **{c: getattr(model, c) for c in ("start", "span", "scale", "level", "slope", "gap", "converged")},
+            "knots": model.knots.tolist(),
+            "bends": model.bends.tolist(),
+            "waves": [dict(zip(("period", "multiple", "sine", "cosine"), w, strict=True)) for w in model.waves],
+            "length": len(t),
+            "fit_seconds": time.perf_counter() - started,
+        }
+        fields = [group.schema.field(n) for n in names] + _MODEL_ARROW
+        return pa.Table.from_pylist([row], pa.schema(fields))
+
+    rows = placed(frame, keys).withColumn("t", F.unix_timestamp("ds")).select(*names, "t", "y_full")
+    return rows.groupBy(*names).applyInArrow(fit_series, schema)
+
+
+_WAVE = pa.struct([("period", pa.float64()), ("multiple", pa.int32()), ("sine", pa.float64()), ("cosine", pa.float64())])
+_MODEL_ARROW = [
+    pa.field("last", pa.int64()),
+    *[pa.field(c, pa.float64()) for c in ("start", "span", "scale", "level", "slope")],
+    pa.field("knots", pa.list_(pa.float64())),
+    pa.field("bends", pa.list_(pa.float64())),
+    pa.field("waves", pa.list_(_WAVE)),
+    pa.field("gap", pa.float64()),
+    pa.field("converged", pa.bool_()),
+    pa.field("length", pa.int64()),
+    pa.field("fit_seconds", pa.float64()),
+]
+
+
+def model_value(at: Column) -> Column:
+    """What a stored model says for a time in epoch seconds; plain expressions on its row."""
+    x = (at - F.col("start")) / F.col("span")
+    bent = F.aggregate(
+        F.arrays_zip("knots", "bends"),
+        F.lit(0.0),
+        lambda total, b: total + b["bends"] * F.greatest(x - b["knots"], F.lit(0.0)),
     )
 
+    def wave(total: Column, w: Column) -> Column:
+        angle = F.lit(2 * np.pi) * w["multiple"] * at / w["period"]
+        return total + w["sine"] * F.sin(angle) + w["cosine"] * F.cos(angle)
+
+    return F.col("scale") * (F.col("level") + F.col("slope") * x + bent + F.aggregate("waves", F.lit(0.0), wave))
+
+
+def score_models(
+    models: DataFrame, keys: Sequence[str], horizon: Horizon, after: dt.date | None = None, steps: int | None = None
+) -> DataFrame:
+    """Forecast rows keys..., ds, yhat of stored models, without a fit and without Python.
+
+    Steps follow the last time each model saw, or the given date.
+    """
+    step, count = horizon.step, horizon.delay if steps is None else steps
+    last = F.col("last") if after is None else F.unix_timestamp(F.lit(after).cast("timestamp"))
+    at = F.explode(F.sequence(last + step, last + step * count, F.lit(step))).alias("_at")
+    scored = models.select("*", at).withColumn("yhat", model_value(F.col("_at")))
+    return scored.select(*keys, F.timestamp_seconds("_at").alias("ds"), "yhat")
+
 
 def forecast_only(
     series: DataFrame,
@@ -181,19 +275,15 @@ def forecast_only(
     changepoint_scale: float = 0.1,
     seasonality_scale: float = 0.05,
 ) -> DataFrame:
-    """Forecast from the full, capped series without validation, for every series at once.
+    """Forecast from models of the full, capped series without validation, for every series at once.
 
     No length gate, but a fit needs enough usable points.
     """
     rule, q = _RULES["cap75"]
-    frame = rule(placed(series, keys), keys, "y", "y_full", q).withColumns(
-        {"y_train": F.lit(None).cast("double"), "is_test": F.lit(False)}
-    )
+    frame = rule(placed(series, keys), keys, "y", "y_full", q)
     frame = enough_usable(frame, keys, ["y_full"], MIN_USABLE_POINTS)
-    fitted = additive_fit(
-        frame, keys, horizon, changepoint_scale, seasonality_scale, validate=False
-    )
-    return fitted.select(*keys, "ds", "yhat")
+    models = additive_models(frame, keys, horizon, changepoint_scale, seasonality_scale)
+    return score_models(models, keys, horizon)
 
 
 # -- native trend model ------------------------------------------------------

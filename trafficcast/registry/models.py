@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from trafficcast.constants import FEATURE_MEASURES, MULTI_HORIZON
@@ -12,12 +13,22 @@ from trafficcast.operators import features as X
 from trafficcast.operators.boosted import boosted_forecast
 from trafficcast.operators.compare import compare_models, model_run_time, score_summary
 from trafficcast.operators.evaluate import error_metrics, split_scores, with_errors
-from trafficcast.operators.filters import allow_apps, before
-from trafficcast.operators.forecast import DAYS, HORIZONS, forecast_only, holdout_split
+from trafficcast.operators.filters import allow_apps, before, enough_usable
+from trafficcast.operators.forecast import (
+    DAYS,
+    HORIZONS,
+    additive_fit,
+    additive_models,
+    forecast_only,
+    holdout_split,
+    model_frame,
+    score_models,
+)
 from trafficcast.operators.series import daily_peak_measures, hourly_measures
 from trafficcast.plans.reports import (
     REPORTS,
     analysis_table,
+    as_series,
     data_table,
     fit,
     forecast_table,
@@ -40,6 +51,7 @@ from trafficcast.registry.sql import (
     ORDERS,
     POINTS,
     analysis,
+    data as data_sql,
     describe,
     metrics,
     trend_chain,
@@ -128,6 +140,32 @@ def scores_by_split(spark, folder):
 # -- additive model: fitted in Python, so without SQL ------------------------
 
 
+_WEEKDAYS = (0, 1, 3, -2, 5, 2, -4)
+
+
+def curve_sql(season, ds="ds"):
+    """A line, with a weekday or hour effect, as SQL."""
+    line = f"100.00012 + 0.01 * (epoch(CAST({ds} AS TIMESTAMP)) / 86400 - 10000)"
+    waves = {
+        None: "0",
+        "hour": f"5 * sin(2 * pi() * hour(CAST({ds} AS TIMESTAMP)) / 24)",
+        "weekday": f"list_extract({list(_WEEKDAYS)}, CAST(isodow(CAST({ds} AS TIMESTAMP)) AS INTEGER))",
+    }
+    return f"{line} + {waves[season]}"
+
+
+def on_curve(data, value, season):
+    """A data table with that curve in place of its values."""
+    ds = F.col("date").cast("timestamp")
+    line = 100.00012 + 0.01 * (F.unix_timestamp(ds) / 86400 - 10000)
+    waves = {
+        None: F.lit(0),
+        "hour": 5 * F.sin(2 * np.pi * F.hour(ds) / 24),
+        "weekday": F.array(*map(F.lit, _WEEKDAYS))[F.weekday(ds)],
+    }
+    return data.withColumn(value, line + waves[season])
+
+
 def _additive_queries(report, horizon):
     spec, grain, date = REPORTS[report], HORIZONS[horizon], RUN_DATE[horizon]
     keys = ", ".join(KEYS[report])
@@ -151,13 +189,34 @@ def _additive_queries(report, horizon):
     @query(
         f"additive_steps_{report}_{horizon}",
         f"WITH {POINTS[horizon]}, {trend_chain(report, horizon)}"
-        f" SELECT {keys}, 'forecast' AS kind, ds, CAST(NULL AS DOUBLE) AS y, true AS fitted FROM ahead"
-        f" UNION ALL SELECT {keys}, 'valid' AS kind, ds, y, true AS fitted FROM valid",
-        f"{_kinds(report)}kind:s ds:t y:d fitted:s",
+        f" SELECT {keys}, 'forecast' AS kind, ds, CAST(NULL AS DOUBLE) AS y, true AS fitted, true AS converged FROM ahead"
+        f" UNION ALL SELECT {keys}, 'valid' AS kind, ds, y, true AS fitted, true AS converged FROM valid",
+        f"{_kinds(report)}kind:s ds:t y:d fitted:s converged:s",
     )
     def steps(spark, folder):
         rows = fitted(spark, folder)
-        return rows.select(*spec.keys, "kind", "ds", "y", (~F.isnan("yhat")).alias("fitted"))
+        return rows.select(*spec.keys, "kind", "ds", "y", (~F.isnan("yhat")).alias("fitted"), "converged")
+
+    # Values that the model can say exactly, at the keys and times of the table: it must find them.
+    # The training part of 90 hours in a row is shorter than the two days that a daily season needs.
+    curves = {"forecast": "hour", "valid": None} if horizon == "48h" else dict.fromkeys(("forecast", "valid"), "weekday")
+
+    @query(
+        f"additive_recovers_{report}_{horizon}",
+        f"WITH {POINTS[horizon]}, {trend_chain(report, horizon)} "
+        + " UNION ALL ".join(
+            f"SELECT {keys}, '{kind}' AS kind, ds, {curve_sql(season)} AS yhat, true AS converged FROM {table}"
+            for (kind, season), table in zip(curves.items(), ("ahead", "valid"), strict=True)
+        ),
+        f"{_kinds(report)}kind:s ds:t yhat:d converged:s",
+        digits=3,
+    )
+    def recovers(spark, folder):
+        data, parts = data_of(spark, folder, report, horizon), []
+        for kind, season in curves.items():
+            rows = fit(on_curve(data, spec.value, season), spec, grain)
+            parts.append(rows.filter(F.col("kind") == kind).select(*spec.keys, "kind", "ds", "yhat", "converged"))
+        return parts[0].unionByName(parts[1])
 
 
 for _report in REPORTS:
@@ -170,6 +229,45 @@ def forecast_alone(spark, folder):
     return forecast_only(series_of(spark, folder, "p1", "30d"), _BOTH, DAYS)
 
 
+# Every series with at least ten points is modelled, however short.
+_UNGATED = (
+    f"WITH {ORDERS}, data AS ({data_sql('p1', '30d')}), last AS (SELECT application, source,"
+    " CAST(max(date) AS TIMESTAMP) AS t0 FROM data GROUP BY application, source HAVING count(*) >= 10),"
+    " ahead AS (SELECT application, source, t0 + to_days(CAST(h AS INTEGER)) AS ds FROM last, range(1, 31) AS r(h))"
+)
+
+
+@query(
+    "stored_models_recover",
+    f"{_UNGATED} SELECT application, source, ds, {curve_sql('weekday')} AS yhat FROM ahead",
+    "application:s source:s ds:t yhat:d",
+    digits=3,
+)
+def stored_models_recover(spark, folder):
+    """Forecast of written models, read back: no series is fitted when it is asked."""
+    data = on_curve(data_of(spark, folder, "p1", "30d"), "app_rsp_time", "weekday")
+    frame = enough_usable(as_series(data, REPORTS["p1"]).withColumn("y_full", F.col("y")), _BOTH, ["y_full"])
+    models = staged(additive_models(frame, _BOTH, DAYS, 0.1, 0.05), "models")
+    return score_models(models, _BOTH, DAYS)
+
+
+@query(
+    "stored_models_match_fit",
+    f"WITH {ORDERS}, {trend_chain('p1', '30d')} SELECT application, source, count(*) AS steps, count(*) AS equal"
+    " FROM ahead GROUP BY application, source",
+    "application:s source:s steps:i equal:i",
+)
+def stored_models_match_fit(spark, folder):
+    """Steps of each series, and those at which the stored model says what the fit said."""
+    spec = REPORTS["p1"]
+    frame = model_frame(series_of(spark, folder, "p1", "30d"), _BOTH, DAYS, spec.outlier, spec.min_usable)
+    models = staged(additive_models(frame, _BOTH, DAYS, *spec.scales["30d"]), "models")
+    fitted = additive_fit(frame, _BOTH, DAYS, *spec.scales["30d"]).filter(F.col("kind") == "forecast")
+    both = fitted.join(score_models(models, _BOTH, DAYS).withColumnRenamed("yhat", "scored"), [*_BOTH, "ds"], "left")
+    near = F.abs(F.col("yhat") - F.col("scored")) <= 1e-9 * F.greatest(F.abs("yhat"), F.lit(1.0))
+    return both.groupBy(*_BOTH).agg(F.count("*").alias("steps"), F.count(F.when(near, 1)).alias("equal"))
+
+
 # -- features ----------------------------------------------------------------
 
 _LAGGED = [m for m in FEATURE_MEASURES if m != "app_rsp_time"]
