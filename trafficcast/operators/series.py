@@ -12,6 +12,11 @@ from trafficcast.constants import FEATURE_MEASURES, HOURLY_TAIL, POINT_LIMIT
 from trafficcast.functions.columns import bandwidth, event_date, event_time, over_limit, weekday
 from trafficcast.operators.filters import drop_denied, nonzero
 
+#: A dimension is broadcast up to so many bytes, which are counted first.
+BROADCAST_BYTES = 8 << 20
+#: Parts that the rows of one attribute id are dealt to where its dimension is too large to broadcast.
+_SALTS = 16
+
 
 # -- dimension ---------------------------------------------------------------
 
@@ -31,6 +36,29 @@ def locations(attrs: DataFrame, dedupe_latest: bool = False) -> DataFrame:
     )
 
 
+def fits(places: DataFrame) -> bool:
+    """Whether a dimension may be broadcast: an aggregation over it adds up what it would weigh."""
+    weight = F.lit(32) + F.coalesce(F.octet_length("location"), F.lit(0))
+    return (places.agg(F.sum(weight).alias("bytes")).first()["bytes"] or 0) <= BROADCAST_BYTES
+
+
+def with_locations(rows: DataFrame, places: DataFrame, broadcast: bool) -> DataFrame:
+    """Rows with the locations of their attribute id, or without one.
+
+    Broadcast, the rows stay where they are. Otherwise a NULL id, which matches
+    nothing, takes no part in the join, and the rows of every other id are dealt
+    to several parts, for each of which the dimension repeats.
+    """
+    if broadcast:
+        return rows.join(F.broadcast(places), "target_attribute_id", "left")
+    known = rows.filter(F.col("target_attribute_id").isNotNull())
+    salt = F.pmod(F.xxhash64("time_stamp", *[c for c in ("target_address",) if c in rows.columns]), F.lit(_SALTS))
+    salted = places.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))))
+    joined = known.withColumn("_salt", salt).join(salted, ["target_attribute_id", "_salt"], "left").drop("_salt")
+    unknown = rows.filter(F.col("target_attribute_id").isNull())
+    return joined.unionByName(unknown, allowMissingColumns=True)
+
+
 # -- hourly aggregates -------------------------------------------------------
 
 
@@ -55,8 +83,11 @@ def hourly_users(points: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def hourly_users_location(points: DataFrame, places: DataFrame) -> DataFrame:
-    seen = points.select("target_attribute_id", "target_address", "time_stamp").distinct()
-    return hourly_users(seen.join(places, "target_attribute_id", "left"), ["location"])
+    """Distinct targets per location; where the join shuffles, only distinct rows go through it."""
+    seen, broadcast = points.select("target_attribute_id", "target_address", "time_stamp"), fits(places)
+    if not broadcast:
+        seen = seen.distinct()
+    return hourly_users(with_locations(seen, places, broadcast), ["location"])
 
 
 def hourly_bytes(points: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -65,12 +96,12 @@ def hourly_bytes(points: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def hourly_bytes_location(points: DataFrame, places: DataFrame) -> DataFrame:
-    """Sums per attribute id first, so that the join sees hours and not measurements."""
-    partial = points.groupBy("target_attribute_id", "time_stamp").agg(
-        F.sum("byte_count").alias("_bytes")
-    )
+    """Byte sums per location; where the join shuffles, sums per attribute id go through it."""
+    rows, broadcast = points.select("target_attribute_id", "time_stamp", F.col("byte_count").alias("_bytes")), fits(places)
+    if not broadcast:
+        rows = rows.groupBy("target_attribute_id", "time_stamp").agg(F.sum("_bytes").alias("_bytes"))
     total = (
-        partial.join(places, "target_attribute_id", "left")
+        with_locations(rows, places, broadcast)
         .groupBy("location", "time_stamp")
         .agg(F.sum(F.col("_bytes") * F.coalesce("copies", F.lit(1))).alias("byte_count_sum"))
     )

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trafficcast.constants import DEFAULT_APPS
 from trafficcast.operators.forecast import HORIZONS
-from trafficcast.operators.series import roll_up_bytes, with_bandwidth
+from trafficcast.operators.grain import base_grain
+from trafficcast.operators.series import locations, roll_up_bytes, with_bandwidth
 from trafficcast.plans.reports import (
     REPORTS,
     ReportSpec,
@@ -19,7 +20,7 @@ from trafficcast.plans.reports import (
     data_table,
     fit,
     forecast_table,
-    hourly,
+    hourly_of_grain,
     valid_table,
 )
 from trafficcast.plans.views import monitoring
@@ -90,8 +91,10 @@ def run_night(
     replace_forecast: bool = False,
     replace_analysis: bool = False,
     at_once: int = 4,
+    denylist: DataFrame | None = None,
 ) -> None:
-    """All reports. Horizons share the hourly series of a report; p9 is p10 summed over applications.
+    """All reports. The measurements are read once, into the base grain; horizons share the hourly series
+    of a report, and p9 is p10 summed over applications. A denylist, if given, is applied to all.
 
     Reports do not depend on each other: several are submitted at once, so that
     one fills the cluster while another finishes its last tasks.
@@ -102,7 +105,8 @@ def run_night(
 
     def series_of(name: str) -> DataFrame:
         spec = REPORTS[name]
-        rows = hourly(points, attrs, spec, apps, dedupe_latest=dedupe_latest)
+        denied = denylist if denylist is None or set(spec.keys) & set(denylist.columns) else None
+        rows = hourly_of_grain(grain, places, spec, apps, denied)
         return _written(rows, f"{scratch}/hourly-{name}")
 
     def written(report: str, rows: DataFrame, horizon: str) -> float:
@@ -133,6 +137,8 @@ def run_night(
         ]
 
     try:
+        grain = _written(base_grain(points), f"{scratch}/grain")
+        places = _written(locations(attrs, dedupe_latest), f"{scratch}/places")
         alone = [name for name in wanted if not (roll_up and name == "p9")]
         with ThreadPoolExecutor(at_once) as pool:
             done = [entry for entries in pool.map(one, alone) for entry in entries]

@@ -14,6 +14,7 @@ from trafficcast.functions.columns import event_time
 from trafficcast.operators.evaluate import error_metrics, with_errors
 from trafficcast.operators.filters import allow_apps, drop_denied, nonzero_rows, with_keys
 from trafficcast.operators.forecast import HORIZONS, Horizon, additive_fit, model_frame
+from trafficcast.operators.grain import grain_rows, hourly_rsp_time_of
 from trafficcast.operators.series import (
     daily_peak,
     hourly_app_count,
@@ -42,6 +43,8 @@ class ReportSpec:
     # (changepoint, seasonality) prior scale per horizon
     scales: dict[str, tuple[float, float]] = field(default_factory=dict)
     min_usable: int = 0
+    # The same series from the base grain, where it is not what `aggregate` makes of the grain's rows.
+    from_grain: Callable[..., DataFrame] | None = None
 
     @property
     def by_location(self) -> bool:
@@ -65,6 +68,7 @@ REPORTS = {
         ReportSpec(
             "p1", "apprsptime_per_app_per_source", _APP_SOURCE, "app_rsp_time",
             hourly_rsp_time, outlier="q75", scales=_both(0.1, 0.05), min_usable=MIN_USABLE_POINTS,
+            from_grain=hourly_rsp_time_of,
         ),
         ReportSpec(
             "p2", "nofapps_per_source", ("source",), "app_count",
@@ -109,15 +113,31 @@ def hourly(
     denylist: DataFrame | None = None,
     dedupe_latest: bool = False,
 ) -> DataFrame:
-    """Filtered hourly series of a report: keys..., time_stamp, value. Both horizons start here."""
-    if spec.clean:
-        points = nonzero_rows(points)
+    """Filtered hourly series of a report: keys..., time_stamp, value. Both horizons start here.
+
+    A report by location weighs its dimension when this is called.
+    """
+    rows = nonzero_rows(points) if spec.clean else points
+    places = locations(attrs, dedupe_latest) if spec.by_location else None
+    return _aggregated(rows, places, spec, spec.aggregate, apps, denylist)
+
+
+def hourly_of_grain(
+    grain: DataFrame,
+    places: DataFrame | None,
+    spec: ReportSpec,
+    apps: Sequence[str] = DEFAULT_APPS,
+    denylist: DataFrame | None = None,
+) -> DataFrame:
+    """The same series from the base grain of the measurements and the `locations` of the attributes."""
+    rows = grain_rows(grain, spec.clean)
+    return _aggregated(rows, places, spec, spec.from_grain or spec.aggregate, apps, denylist)
+
+
+def _aggregated(rows, places, spec, aggregate, apps, denylist):
     if spec.allowlist:
-        points = allow_apps(points, apps)
-    if spec.by_location:
-        series = spec.aggregate(points, locations(attrs, dedupe_latest))
-    else:
-        series = spec.aggregate(points)
+        rows = allow_apps(rows, apps)
+    series = aggregate(rows, places) if spec.by_location else aggregate(rows)
     if denylist is not None:
         series = drop_denied(series, denylist, "location" if spec.by_location else "source")
     return series

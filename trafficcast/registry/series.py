@@ -8,8 +8,9 @@ from trafficcast.constants import DELAY_HOURS, FEATURE_MEASURES
 from trafficcast.operators import filters
 from trafficcast.operators import series as S
 from trafficcast.operators.forecast import DAYS, HORIZONS, HOURS, future_calendar, holdout_split
+from trafficcast.operators.grain import base_grain
 from trafficcast.operators.outliers import cap_outliers, null_outliers
-from trafficcast.plans.reports import REPORTS, as_series, data_table, hourly
+from trafficcast.plans.reports import REPORTS, as_series, data_table, hourly, hourly_of_grain
 from trafficcast.plans.views import last_dates
 from trafficcast.registry.core import query
 from trafficcast.registry.sql import (
@@ -185,6 +186,38 @@ for _name, _report in {
     _hourly_query(_name, _report)
 
 
+def _grain_query(report, horizon):
+    keys = "".join(f"{k}:s " for k in KEYS[report])
+    value = f"{VALUE[report]}:{KIND[VALUE[report]]}"
+    extra = " byte_count_sum:i" if VALUE[report] == "bw" else ""
+
+    @query(f"grain_hourly_{report}_{horizon}", f"WITH {POINTS[horizon]} {sql.hourly(report, horizon)}", f"{keys}time_stamp:i {value}{extra}")
+    def run(spark, folder):
+        """The report's hourly series from the one base grain."""
+        points, attrs, apps = SOURCES[horizon]
+        grain = base_grain(points(spark, folder))
+        return hourly_of_grain(grain, S.locations(attrs(spark, folder)), REPORTS[report], apps)
+
+
+for _report in REPORTS:
+    for _horizon in HORIZONS:
+        _grain_query(_report, _horizon)
+
+
+@query(
+    "base_grain",
+    f"WITH {EVENTS} SELECT application, source, target_attribute_id, target_address, time_stamp, sum(app_rsp_time) AS rsp_sum,"
+    " count(app_rsp_time) AS rsp_count, CAST(sum(byte_count) AS BIGINT) AS bytes,"
+    " count(*) FILTER (WHERE app_rsp_time <> 0 AND byte_count <> 0) AS clean_rows,"
+    " CAST(sum(byte_count) FILTER (WHERE app_rsp_time <> 0 AND byte_count <> 0) AS BIGINT) AS clean_bytes FROM pts GROUP BY ALL",
+    "application:s source:s target_attribute_id:i target_address:s time_stamp:i rsp_sum:d rsp_count:i bytes:i"
+    " clean_rows:i clean_bytes:i",
+    digits=8,
+)
+def base_grain_query(spark, folder):
+    return base_grain(event_points(spark, folder))
+
+
 @query(
     "hourly_bw_rolled_up",
     f"WITH {ORDERS} {sql.hourly('p9', '30d')}",
