@@ -1,19 +1,18 @@
 """Boosted-tree forecast: direct multi-horizon on lag features.
 
-One distributed model learns all series and horizons; the horizon and the level
-of the series are features. It trains only on targets inside the training part.
+Every series has a booster of its own for each horizon. A series reaches Python once, as one Arrow
+group that is bounded by the days kept, and all its horizons are fitted together on shared bins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from trafficcast.constants import (
     BOOST_DEPTH,
@@ -24,44 +23,71 @@ from trafficcast.constants import (
     MULTI_HORIZON,
     POINT_LIMIT,
 )
-from trafficcast.operators.features import (
-    exp_prediction,
-    horizon_targets,
-    lag_means,
-    log_target,
-)
+from trafficcast.functions.boosting import boosted_trees
+from trafficcast.operators.features import exp_prediction, lag_means, log_target
 from trafficcast.operators.filters import long_enough
-from trafficcast.session import staged
+from trafficcast.operators.series import placed
+
 
+def boosted_frame(daily: DataFrame, keys: Sequence[str], target: str = FEATURE_MEASURES[0]) -> DataFrame:
+    """Gated series with lag features, weekday, target and its logarithm."""
+    measures = [m for m in FEATURE_MEASURES if m != target]
+    gated = long_enough(placed(daily, keys), keys, POINT_LIMIT)
+    lagged = lag_means(gated, keys, measures)
+    return lagged.select(*keys, "date", *measures, "weekday", target, log_target(F.col(target)).alias("label"))
 
-def boosted_frame(
+
+def boosted_holdout(
     daily: DataFrame,
     keys: Sequence[str],
     target: str = FEATURE_MEASURES[0],
     horizons: int = MULTI_HORIZON,
+    rounds: int = BOOST_ROUNDS,
 ) -> DataFrame:
-    """Rows per (key, day, horizon) with features, log target and their `part`.
+    """keys..., origin, horizon, ds, y, yhat, split: what the boosters say of rows seen and held out.
 
-    `train` rows have their target inside the training part; `test` rows start
-    at its last day and look into the held-out days.
+    The last `horizons` days of a series are held out. A booster learns from days whose target lies
+    before them (split `train`, in sample); asked on the last of those days, it looks into the held-out
+    part (split `test`). A horizon counts rows of the series.
     """
-    measures = [m for m in FEATURE_MEASURES if m != target]
-    per_key = Window.partitionBy(*keys)
-    gated = long_enough(daily, keys, POINT_LIMIT)
-    placed = gated.withColumn("_rn", F.row_number().over(per_key.orderBy("date")))
-    origin = F.col("length") - horizons
-    levelled = lag_means(placed, keys, measures).withColumn(
-        "level", F.avg(F.when(F.col("_rn") <= origin, log_target(F.col(target)))).over(per_key)
-    )
-    rows = horizon_targets(levelled, keys, target, horizons=horizons)
-    lands_at = F.col("_rn") + F.col("horizon")
-    part = F.when(lands_at <= origin, "train").when(F.col("_rn") == origin, "test")
-    return (
-        rows.withColumn("part", part)
-        .filter(F.col("part").isNotNull())
-        .withColumn("label", log_target(F.col("target")))
-        .select(*keys, "date", "horizon", *measures, "weekday", "level", "target", "label", "part")
-    )
+    keys = list(keys)
+    frame = boosted_frame(daily, keys, target)
+    key_fields = [f for f in frame.schema.fields if f.name in keys]
+    names = [f.name for f in key_fields]
+    tail = "origin date, horizon int, ds date, y double, label double, split string"
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in key_fields] + T.StructType.fromDDL(tail).fields)
+    inputs = [c for c in frame.columns if c not in {*keys, "date", target, "label"}]
+
+    def fit_series(group: pa.Table) -> pa.Table:
+        group = group.sort_by("date")
+        n, ahead = group.num_rows, np.arange(1, horizons + 1)
+        x = np.column_stack([group[c].cast(pa.float64()).to_numpy() for c in inputs])
+        label = group["label"].to_numpy()
+        last = n - horizons - 1
+        reach = np.arange(n)[:, None] + ahead
+        seen = reach <= last
+        targets = np.where(seen, label[np.minimum(reach, n - 1)], np.nan)[: last + 1]
+        fitted, beyond = boosted_trees(
+            x[: last + 1], targets, x[last : last + 1], rounds, BOOST_DEPTH, BOOST_ETA, BOOST_MIN_CHILD
+        )
+        row, h = np.nonzero(~np.isnan(targets))
+        origin = np.concatenate([row, np.full(horizons, last)])
+        horizon = np.concatenate([ahead[h], ahead])
+        said = np.concatenate([fitted[row, h], beyond[0]])
+        lands = pa.array(origin + horizon)
+        columns = [pa.repeat(pa.scalar(group[k][0].as_py(), group.schema.field(k).type), len(origin)) for k in names]
+        columns += [
+            group["date"].take(pa.array(origin)).combine_chunks(),
+            pa.array(horizon, pa.int32()),
+            group["date"].take(lands).combine_chunks(),
+            group[target].take(lands).combine_chunks().cast(pa.float64()),
+            pa.array(said, from_pandas=True),
+            pa.array(["train"] * len(row) + ["test"] * horizons),
+        ]
+        return pa.table(columns, names=schema.names)
+
+    said = frame.groupBy(*names).applyInArrow(fit_series, schema)
+    return said.select(*names, "origin", "horizon", "ds", "y", exp_prediction(F.col("label")).alias("yhat"), "split")
 
 
 def boosted_forecast(
@@ -71,29 +97,6 @@ def boosted_forecast(
     horizons: int = MULTI_HORIZON,
     rounds: int = BOOST_ROUNDS,
 ) -> DataFrame:
-    """Hold-out predictions: keys..., horizon, y, yhat. Fits when called.
-
-    The frame is written to the shared folder first: each round of the fit reads
-    it, and so does a retry after an executor is lost.
-    """
-    frame = boosted_frame(daily, keys, target, horizons)
-    # Horizons multiply the rows after the shuffle by series: spread them over all cores again.
-    spread = frame.repartition(daily.sparkSession.sparkContext.defaultParallelism)
-    rows = staged(spread, "boosted")
-    features = [m for m in FEATURE_MEASURES if m != target] + ["weekday", "horizon", "level"]
-    trees = GBTRegressor(
-        maxDepth=BOOST_DEPTH,
-        stepSize=BOOST_ETA,
-        maxIter=rounds,
-        minInstancesPerNode=BOOST_MIN_CHILD,
-        seed=100,
-    )
-    pipeline = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), trees])
-    model = pipeline.fit(rows.filter(F.col("part") == "train"))
-    scored = model.transform(rows.filter(F.col("part") == "test"))
-    return scored.select(
-        *keys,
-        "horizon",
-        F.col("target").alias("y"),
-        exp_prediction(F.col("prediction")).alias("yhat"),
-    )
+    """Hold-out predictions: keys..., horizon, y, yhat."""
+    rows = boosted_holdout(daily, keys, target, horizons, rounds).filter(F.col("split") == "test")
+    return rows.select(*keys, "horizon", "y", "yhat")

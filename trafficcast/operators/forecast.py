@@ -95,6 +95,7 @@ def additive_fit(
     changepoint_scale: float,
     seasonality_scale: float,
     validate: bool = True,
+    in_sample: bool = False,
 ) -> DataFrame:
     """Forecast and hold-out rows of every series: keys..., kind, ds, y, yhat, length, fit_seconds, gap, converged.
 
@@ -102,7 +103,8 @@ def additive_fit(
     hours kept in the store, however much traffic its key carries. Hold-out
     predictions cover the calendar steps after the training part; those that
     meet an observed test row become validation rows. `gap` is the larger relative
-    duality gap of the two fits, and `converged` whether it is small enough.
+    duality gap of the two fits, and `converged` whether it is small enough. With
+    `in_sample`, rows of kind `train` show what the validation fit says of its own points.
     """
     keys = list(keys)
     delay, step = horizon.delay, horizon.step
@@ -142,6 +144,10 @@ def additive_fit(
             actual, paired = y[at_row], yhat[at_held]
             known = ~np.isnan(actual)
             parts.append(("valid", seen[known], actual[known], paired[known]))
+            if in_sample:
+                learnt = ~np.isnan(y_train[train])
+                at_train = t[train][learnt]
+                parts.append(("train", at_train, y_train[train][learnt], predict(models[1], at_train)))
 
         kinds, times, actuals, predictions = zip(*parts)
         rows = sum(len(p) for p in times)
@@ -306,6 +312,21 @@ def future_calendar(last: DataFrame, last_column: str, horizon: Horizon) -> Data
     )
 
 
+def trend_fitted(train: DataFrame, keys: Sequence[str], y: str, horizon: Horizon) -> DataFrame:
+    """The same model at the rows it was fitted to: keys..., ds, y, yhat; rows without y go."""
+    per_key = Window.partitionBy(*keys)
+    x = (F.unix_timestamp("ds") - F.unix_timestamp(F.max("ds").over(per_key))) / F.lit(horizon.step)
+    lined = (
+        train.withColumn("_x", x.cast("long").cast("double"))
+        .withColumn("_b", F.regr_slope(F.col(y), F.col("_x")).over(per_key))
+        .withColumn("_line", F.regr_intercept(F.col(y), F.col("_x")).over(per_key) + F.col("_b") * F.col("_x"))
+        .withColumn("_season", horizon.season(F.col("ds")))
+    )
+    effect = F.avg(F.col(y) - F.col("_line")).over(Window.partitionBy(*keys, "_season"))
+    said = lined.withColumn("yhat", F.col("_line") + effect).filter(F.col(y).isNotNull())
+    return said.select(*keys, "ds", F.col(y).alias("y"), "yhat")
+
+
 def trend_forecast(train: DataFrame, keys: Sequence[str], y: str, horizon: Horizon) -> DataFrame:
     """Least-squares line plus the mean residual of each weekday or hour.
 

@@ -6,17 +6,19 @@ import datetime as dt
 
 import numpy as np
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from trafficcast.constants import FEATURE_MEASURES, MULTI_HORIZON
+from trafficcast.constants import BOOST_ETA, BOOST_ROUNDS, FEATURE_MEASURES, MULTI_HORIZON
 from trafficcast.functions.columns import event_time, weekday
 from trafficcast.operators import features as X
 from trafficcast.operators.boosted import boosted_forecast
 from trafficcast.operators.compare import compare_models, model_run_time, score_summary
 from trafficcast.operators.evaluate import error_metrics, split_scores, with_errors
-from trafficcast.operators.filters import allow_apps, before, enough_usable
+from trafficcast.operators.filters import allow_apps, enough_usable
 from trafficcast.operators.forecast import (
     DAYS,
     HORIZONS,
+    HOURS,
     additive_fit,
     additive_models,
     forecast_only,
@@ -25,6 +27,7 @@ from trafficcast.operators.forecast import (
     score_models,
 )
 from trafficcast.operators.series import daily_peak_measures, hourly_measures
+from trafficcast.plans.holdout import holdout, holdout_scores, trend_holdout
 from trafficcast.plans.reports import (
     REPORTS,
     analysis_table,
@@ -32,7 +35,6 @@ from trafficcast.plans.reports import (
     data_table,
     fit,
     forecast_table,
-    hourly,
     valid_table,
 )
 from trafficcast.plans.trend import trend_tables
@@ -50,6 +52,7 @@ from trafficcast.registry.sql import (
     KEYS,
     ORDERS,
     POINTS,
+    SEASON,
     analysis,
     data as data_sql,
     describe,
@@ -57,8 +60,7 @@ from trafficcast.registry.sql import (
     trend_chain,
 )
 from trafficcast.session import staged
-from trafficcast.sources.adapters import EVENT_APPS, ORDER_APPS, event_points, order_points
-from trafficcast.sources.ingest import midnight_ms
+from trafficcast.sources.adapters import ORDER_APPS, event_points, order_points
 
 RUN_DATE = {"48h": dt.date(2024, 1, 31), "30d": dt.date(2001, 11, 5)}
 _BOTH = ["application", "source"]
@@ -113,28 +115,23 @@ def metrics_query(spark, folder):
     return error_metrics(trend_of(spark, folder, "p10", "48h")["valid"], _BOTH)
 
 
-_CUT = dt.date(2024, 1, 20)
-
-
 @query(
     "split_scores",
-    f"WITH {EVENTS}, {trend_chain('p9', '48h', '_a', chr(39).join(['time_stamp < epoch_ms(TIMESTAMP ', '2024-01-20', ')']))},"
-    f" {trend_chain('p9', '48h', '_b')},"
-    " pairs AS (SELECT *, 'train' AS split FROM valid_a UNION ALL SELECT *, 'test' AS split FROM valid_b)"
+    f"WITH {EVENTS}, {trend_chain('p9', '48h')},"
+    " seen AS (SELECT source, ds, y, a + b * x + e AS yhat FROM held_x JOIN held_fit USING (source)"
+    f" JOIN held_eff USING (source) WHERE season = {SEASON['48h'].format('ds')} AND y IS NOT NULL),"
+    " pairs AS (SELECT source, y - yhat AS error_test, abs((y - yhat) * 100 / nullif(y, 0)) AS \"APE\", 'train' AS split FROM seen"
+    " UNION ALL SELECT source, error_test, \"APE\", 'test' AS split FROM valid)"
     " SELECT source, split, round(test_rmse, 2) AS rmse, round(test_mape, 2) AS mape,"
     f" round(test_mape_98, 2) AS mape_98 FROM ({metrics('pairs', 'source, split')})",
     "source:s split:s rmse:d mape:d mape_98:d",
     digits=6,
 )
 def scores_by_split(spark, folder):
-    """Scores of a window inside the training part and of the held-out one."""
-    spec, points = REPORTS["p9"], event_points(spark, folder)
-    pairs = []
-    for split, seen in (("train", before(points, midnight_ms(_CUT))), ("test", points)):
-        data = data_table(hourly(seen, None, spec, EVENT_APPS), spec, HORIZONS["48h"])
-        valid = trend_tables(data, spec, "48h", _CUT)["valid"]
-        pairs.append(valid.select("source", "y", "yhat", F.lit(split).alias("split")))
-    return split_scores(pairs[0].unionByName(pairs[1]), ["source"])
+    """Scores of one fit, at the points it has seen and at those held out."""
+    spec = REPORTS["p9"]
+    frame = model_frame(series_of(spark, folder, "p9", "48h"), ["source"], HOURS, spec.outlier, spec.min_usable)
+    return split_scores(trend_holdout(frame, ["source"], HOURS), ["source"])
 
 
 # -- additive model: fitted in Python, so without SQL ------------------------
@@ -394,11 +391,72 @@ def log_target(spark, folder):
 # -- boosted trees and comparison --------------------------------------------
 
 
+def _model_days(spark, folder):
+    points = allow_apps(order_points(spark, folder), ORDER_APPS)
+    return daily_peak_measures(hourly_measures(points, _BOTH), _BOTH)
+
+
 @query("boosted_forecast", digits=4)
 def boosted(spark, folder):
-    points = allow_apps(order_points(spark, folder), ORDER_APPS)
-    days = daily_peak_measures(hourly_measures(points, _BOTH), _BOTH)
-    return boosted_forecast(days, _BOTH)
+    return boosted_forecast(_model_days(spark, folder), _BOTH)
+
+
+# A step by place in the series, at its real keys and days. Boosting from the mean comes nearer to each
+# step by the learning rate in every round.
+_STEPS = (
+    f"WITH {ORDERS}, days AS (SELECT application, source, date, row_number() {_OVER}) AS rn,"
+    f" count(*) OVER (PARTITION BY application, source) AS n FROM ({MEASURE_DAYS}) WHERE application IN ('A', 'R')),"
+    " steps AS (SELECT *, CASE WHEN rn % 7 >= 5 THEN 10.0 ELSE 20.0 END AS v FROM days WHERE n > 60),"
+    " learnt AS (SELECT t.application, t.source, h, avg(ln(t.v)) AS m FROM steps AS t, range(1, 31) AS r(h)"
+    " WHERE t.rn > h AND t.rn <= t.n - 30 GROUP BY ALL)"
+    " SELECT application, source, h AS horizon, v AS y,"
+    f" exp(m + (1 - pow(1 - {BOOST_ETA}, {BOOST_ROUNDS})) * (ln(v) - m)) AS yhat"
+    " FROM steps JOIN learnt USING (application, source) WHERE rn = n - 30 + h"
+)
+
+
+@query("boosted_recovers_steps", _STEPS, "application:s source:s horizon:i y:d yhat:d", digits=6)
+def boosted_recovers_steps(spark, folder):
+    place = F.row_number().over(Window.partitionBy(*_BOTH).orderBy("date"))
+    days = _model_days(spark, folder).withColumn("weekday", place % 7)
+    value = F.when(F.col("weekday") >= 5, 10.0).otherwise(20.0)
+    same = {m: F.lit(1.0) for m in FEATURE_MEASURES}
+    return boosted_forecast(days.withColumns({**same, FEATURE_MEASURES[0]: value}), _BOTH)
+
+
+def _three_models(spark, folder):
+    days = _model_days(spark, folder).filter(F.col(FEATURE_MEASURES[0]) > 0)
+    return holdout(days, _BOTH)
+
+
+@query("holdout_scores", digits=4)
+def scores_of_three(spark, folder):
+    """Train and test scores of trend, additive and boosted models of the same series."""
+    return split_scores(staged(_three_models(spark, folder), "holdout"), ["model", *_BOTH])
+
+
+@query("holdout_comparison", digits=4)
+def comparison_of_three(spark, folder):
+    return compare_models(holdout_scores(_three_models(spark, folder), _BOTH), _BOTH)
+
+
+# What the models are asked about: the trend model's share has SQL, and the others the same days.
+_ASKED = (
+    f"WITH {ORDERS}, days AS (SELECT application, source, date, app_rsp_time, row_number() {_OVER}) AS rn,"
+    f" count(*) OVER (PARTITION BY application, source) AS n FROM ({MEASURE_DAYS}) WHERE application IN ('A', 'R') AND app_rsp_time > 0),"
+    " held AS (SELECT *, max(CASE WHEN rn = n - 30 THEN date END) OVER (PARTITION BY application, source) AS origin"
+    " FROM days WHERE n > 60)"
+    " SELECT model, application, source, CAST(date AS TIMESTAMP) AS ds, app_rsp_time AS y FROM held,"
+    " (VALUES ('trend'), ('additive'), ('boosted')) AS m(model)"
+    " WHERE rn > n - 30 AND (model = 'boosted' OR date_diff('day', origin, date) <= 30)"
+)
+
+
+@query("holdout_frame", _ASKED, "model:s application:s source:s ds:t y:d")
+def holdout_frame(spark, folder):
+    """The held-out rows of all three models, without what they say."""
+    rows = _three_models(spark, folder).filter((F.col("split") == "test") & F.col("yhat").isNotNull())
+    return rows.select("model", *_BOTH, "ds", "y")
 
 
 _TWO_MODELS = (
