@@ -35,13 +35,16 @@ def score_summary(scores: Mapping[str, DataFrame], keys: Sequence[str]) -> DataF
 
 
 def model_run_time(fitted: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Minutes each model spent on all series, from frames with `fit_seconds` per series."""
+    """Minutes each model spent on all series, and on how many, from frames with `fit_seconds` per series."""
     tagged = [
         df.groupBy(*keys)
         .agg(F.first("fit_seconds").alias("fit_seconds"))
         .groupBy()
-        .agg(F.round(F.coalesce(F.sum("fit_seconds"), F.lit(0.0)) / 60, 2).alias("run_time"))
-        .select(F.lit(model).alias("model"), "run_time")
+        .agg(
+            F.round(F.coalesce(F.sum("fit_seconds"), F.lit(0.0)) / 60, 8).alias("run_time"),
+            F.count(F.when(F.col("fit_seconds") > 0, 1)).alias("series"),
+        )
+        .select(F.lit(model).alias("model"), "run_time", "series")
         for model, df in fitted.items()
     ]
     return reduce(DataFrame.unionByName, tagged)

@@ -26,7 +26,7 @@ from trafficcast.plans.reports import (
 from trafficcast.plans.views import monitoring
 from trafficcast.session import scratch_path
 from trafficcast.sources.files import drop_folder, table_exists
-from trafficcast.sources.sinks import log_run, write_history, write_latest, write_replace
+from trafficcast.sources.sinks import log_run, observed, write_history, write_latest, write_replace
 
 RUN_LOG_TABLE = "run_time_table_agg"
 
@@ -50,8 +50,10 @@ def publish(
     realtime: bool = True,
     replace_forecast: bool = False,
     replace_analysis: bool = False,
-) -> float:
-    """Writes the tables of one report and horizon below `base`; returns the seconds it took.
+) -> tuple[float, dict[str, int]]:
+    """Writes the tables of one report and horizon below `base`; returns its seconds and the rows by table.
+
+    Rows are counted by the jobs that write them.
 
     The data table is the input of the fit and the written fit that of the other
     three, so nothing is computed twice and a lost executor costs its tasks only.
@@ -64,17 +66,22 @@ def publish(
     def path(kind: str) -> str:
         return result_path(base, spec, kind, horizon)
 
-    data = _written(
-        data_table(series, spec, grain), path("data") if realtime else f"{staging}-data"
-    )
+    watched = {}
+
+    def counted(kind: str, df: DataFrame) -> DataFrame:
+        df, watched[kind] = observed(df)
+        return df
+
+    table = counted("data", data_table(series, spec, grain))
+    data = _written(table, path("data") if realtime else f"{staging}-data")
     fitted = _written(fit(data, spec, grain), f"{staging}-fit")
     if realtime:
-        write_replace(valid_table(fitted, spec), path("valid"))
-        ahead = forecast_table(fitted, spec, run_date)
+        write_replace(counted("valid", valid_table(fitted, spec)), path("valid"))
+        ahead = counted("forecast", forecast_table(fitted, spec, run_date))
         write_latest(ahead, path("forecast"), run_date, replace_forecast)
-    scores = analysis_table(fitted, spec, run_date)
+    scores = counted("analyse", analysis_table(fitted, spec, run_date))
     write_history(scores, path("analyse"), run_date, replace_analysis)
-    return time.monotonic() - started
+    return time.monotonic() - started, {kind: watch.get["rows"] for kind, watch in watched.items()}
 
 
 def run_night(
@@ -109,7 +116,7 @@ def run_night(
         rows = hourly_of_grain(grain, places, spec, apps, denied)
         return _written(rows, f"{scratch}/hourly-{name}")
 
-    def written(report: str, rows: DataFrame, horizon: str) -> float:
+    def written(report: str, rows: DataFrame, horizon: str) -> tuple[float, dict[str, int]]:
         return publish(
             rows,
             REPORTS[report],
@@ -122,7 +129,7 @@ def run_night(
             replace_analysis,
         )
 
-    def one(name: str) -> list[tuple[str, str, float]]:
+    def one(name: str) -> list[tuple[str, str, float, dict[str, int]]]:
         """A report with both horizons, and with the report that is its sum."""
         started = time.monotonic()
         series = {name: series_of(name)}
@@ -130,11 +137,12 @@ def run_night(
         if roll_up and name == "p10":
             coarse = roll_up_bytes(series["p10"], REPORTS["p9"].keys)
             series["p9"] = _written(with_bandwidth(coarse), f"{scratch}/hourly-p9")
-        return [
-            (report, horizon, shared + written(report, rows, horizon))
-            for report, rows in series.items()
-            for horizon in horizons
-        ]
+        entries = []
+        for report, rows in series.items():
+            for horizon in horizons:
+                seconds, counts = written(report, rows, horizon)
+                entries.append((report, horizon, shared + seconds, counts))
+        return entries
 
     try:
         grain = _written(base_grain(points), f"{scratch}/grain")
@@ -143,9 +151,9 @@ def run_night(
         with ThreadPoolExecutor(at_once) as pool:
             done = [entry for entries in pool.map(one, alone) for entry in entries]
         # One after another: appends to the same folder must not overlap.
-        for name, horizon, seconds in done:
+        for name, horizon, seconds, counts in done:
             label = f"{name}({REPORTS[name].table})"
-            log_run(spark, f"{base.rstrip('/')}/{RUN_LOG_TABLE}", label, horizon, seconds, run_date)
+            log_run(spark, f"{base.rstrip('/')}/{RUN_LOG_TABLE}", label, horizon, seconds, run_date, counts)
     finally:
         drop_folder(spark, scratch)
 

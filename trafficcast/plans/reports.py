@@ -193,7 +193,7 @@ def analysis_table(fitted: DataFrame, spec: ReportSpec, run_date: dt.date) -> Da
         "max_error_rate",
         "median_error_rate",
         "test_mape_98",
-        F.round(F.col("fit_seconds") / 60, 2).alias("total_run_time"),
+        F.round(F.col("fit_seconds") / 60, 8).alias("total_run_time"),
         *spec.keys,
         F.lit(run_date).alias("run_date"),
     )

@@ -497,14 +497,20 @@ def model_score_summary(spark, folder):
     return score_summary(_two_models(spark, folder), _BOTH)
 
 
+_TIMED = ", ".join(trend_chain(r, "48h", f"_{r}") for r in ("p1", "p10"))
+
+
 @query(
     "model_run_time",
-    f"SELECT model FROM (VALUES ('p1'), ('p10')) AS m(model) WHERE EXISTS (WITH {EVENTS} FROM pts)",
-    "model:s",
-)
+    f"WITH {EVENTS}, {_TIMED} " + " UNION ALL ".join(
+        f"SELECT '{r}' AS model, count(*) AS series, count(*) > 0 AS timed"
+        f" FROM (SELECT DISTINCT application, source FROM series_{r})" for r in ("p1", "p10")
+    ),
+    "model:s series:i timed:s",
+)
 def run_time_by_model(spark, folder):
-    """Minutes differ from run to run; only that both were measured is shown."""
+    """Series whose fit was timed; the minutes differ from run to run, and are shown as to whether there are any."""
     fitted = {
         r: fit(data_of(spark, folder, r, "48h"), REPORTS[r], HORIZONS["48h"]) for r in ("p1", "p10")
     }
-    return model_run_time(fitted, _BOTH).filter(F.col("run_time") >= 0).select("model")
+    return model_run_time(fitted, _BOTH).select("model", "series", (F.col("run_time") > 0).alias("timed"))

@@ -13,7 +13,7 @@ from trafficcast.plans.trend import trend_tables
 from trafficcast.operators.filters import before
 from trafficcast.operators.forecast import HORIZONS
 from trafficcast.registry.core import query
-from trafficcast.registry.sql import EVENTS, ORDERS, analysis, data, trend_chain
+from trafficcast.registry.sql import APPS, EVENTS, KEYS, ORDERS, analysis, data, trend_chain
 from trafficcast.schemas import DATAPOINT
 from trafficcast.session import scratch_path
 from trafficcast.sources import ingest, sinks
@@ -44,9 +44,11 @@ def _bootstrapped(spark, folder):
     return points, path
 
 
-@query("scan_datapoints", f"WITH {ORDERS} {_POINTS} WHERE time_stamp >= {_START} AND time_stamp < {_MIDNIGHT}", _POINT_KINDS)
+@query("scan_datapoints", f"WITH {EVENTS} {_POINTS}", _POINT_KINDS)
 def scan_datapoints(spark, folder):
-    _, path = _bootstrapped(spark, folder)
+    """All events, from a store that keeps them all."""
+    path = scratch_path(spark, "datapoints")
+    ingest.bootstrap(event_points(spark, folder), path, DATAPOINT, dt.date(2100, 1, 1), days=130 * 366)
     return read_datapoints(spark, path).select(*_POINT_COLUMNS)
 
 
@@ -241,15 +243,29 @@ def distinct_run_dates(spark, folder):
     return sinks.run_dates(_history(spark, folder))
 
 
+def _log_sql():
+    rows, chains = [], []
+    for report in ("p9", "p10"):
+        for horizon in ("30d", "48h"):
+            tag, keys = f"_{report}_{horizon}", ", ".join(KEYS[report])
+            # Both horizons of a night read the same measurements, here the events.
+            chains.append(trend_chain(report, horizon, tag).replace(APPS["30d"], APPS["48h"]))
+            rows.append(
+                f"SELECT '{report}({REPORTS[report].table})' AS report, '{horizon}' AS horizon, DATE '2024-01-31' AS run_date,"
+                f" (SELECT count(*) FROM data{tag}) AS data_rows, (SELECT count(*) FROM ahead{tag}) AS forecast_rows,"
+                f" (SELECT count(*) FROM valid{tag}) AS valid_rows,"
+                f" (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM valid{tag})) AS analyse_rows, true AS timed"
+            )
+    return f"WITH {EVENTS}, {', '.join(chains)} " + " UNION ALL ".join(rows)
+
+
 @query(
     "run_time_history",
-    f"WITH {EVENTS}, logged AS (SELECT * FROM (VALUES ('p9(bw_per_source)'),"
-    " ('p10(bw_per_app_per_source)')) AS r(report), (VALUES ('30d'), ('48h')) AS h(horizon))"
-    " SELECT report, horizon, DATE '2024-01-31' AS run_date FROM logged WHERE EXISTS (FROM pts)",
-    "report:s horizon:s run_date:t",
+    _log_sql(),
+    "report:s horizon:s run_date:t data_rows:i forecast_rows:i valid_rows:i analyse_rows:i timed:s",
 )
 def run_time_history(spark, folder):
-    """The log of a night's bandwidth reports; minutes differ from run to run and are left out."""
+    """The log of a night's bandwidth reports with the rows they wrote; minutes differ from run to run."""
     base = scratch_path(spark, "night")
     run_night(
         spark,
@@ -261,4 +277,5 @@ def run_time_history(spark, folder):
         apps=EVENT_APPS,
     )
     log = sinks.read_run_log(spark, f"{base}/{RUN_LOG_TABLE}")
-    return log.filter(F.col("run_time") >= 0).select("report", "horizon", "run_date")
+    counts = [c for c in log.columns if c.endswith("_rows")]
+    return log.select("report", "horizon", "run_date", *counts, (F.col("run_time") > 0).alias("timed"))

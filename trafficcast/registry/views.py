@@ -20,7 +20,7 @@ from trafficcast.session import staged
 from trafficcast.sources.adapters import EVENT_APPS, event_attributes, event_points, order_points
 from trafficcast.sources.ingest import midnight_ms
 
-_NIGHTS = (dt.date(2024, 1, 20), dt.date(2024, 1, 25), dt.date(2024, 1, 30))
+_NIGHTS = (dt.date(2024, 1, 20), dt.date(2024, 1, 25), dt.date(2024, 1, 31))
 
 
 def _tag(report, night):
@@ -57,7 +57,9 @@ def _history(spark, folder, report):
     return staged(table, f"history-{report}")
 
 
-_MONITORED = ("p6", "p9", "p10")
+_MONITORED = tuple(REPORTS)
+# A trend model has no fit that takes time, so its third figure is the length of the series.
+_SHOWN = ("test_mape", "test_rmse", "length")
 _CHAINS, _TABLES = _history_sql(_MONITORED)
 
 
@@ -68,10 +70,10 @@ def _monitor_sql():
             k if k in sql.KEYS[report] else f"CAST(NULL AS VARCHAR) AS {k}"
             for k in ("application", "source", "location")
         )
-        for metric in ("test_mape", "test_rmse"):
+        for metric in _SHOWN:
             rows.append(
                 f"SELECT '{report}' AS report, {keys}, run_date, '{metric}' AS metric,"
-                f" {metric} AS value FROM ({_TABLES[report]})"
+                f" CAST({metric} AS DOUBLE) AS value FROM ({_TABLES[report]})"
             )
     return f"WITH {EVENTS}, {_CHAINS} " + " UNION ALL ".join(rows)
 
@@ -84,7 +86,7 @@ def _monitor_sql():
 )
 def monitoring_series(spark, folder):
     histories = {r: _history(spark, folder, r) for r in _MONITORED}
-    return views.monitoring(histories, ["test_mape", "test_rmse"])
+    return views.monitoring(histories, _SHOWN)
 
 
 _P9_CHAINS, _P9_TABLES = _history_sql(("p9",))

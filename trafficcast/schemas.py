@@ -41,6 +41,7 @@ RUN_LOG = T.StructType(
         T.StructField("horizon", T.StringType()),
         T.StructField("run_time", T.DoubleType()),
         T.StructField("run_date", T.DateType()),
+        *[T.StructField(f"{kind}_rows", T.LongType()) for kind in ("data", "forecast", "valid", "analyse")],
     ]
 )
 

@@ -7,8 +7,9 @@ repeat safely: a second run of one day replaces that day's rows.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trafficcast.functions.columns import minutes
@@ -53,15 +54,34 @@ def run_dates(table: DataFrame) -> DataFrame:
     return table.select("run_date").distinct()
 
 
+def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same rows, counted by the job that computes them; `get["rows"]` of the observation waits for it."""
+    watch = Observation()
+    return df.observe(watch, F.count(F.lit(1)).alias("rows")), watch
+
+
 def log_run(
-    spark: SparkSession, path: str, report: str, horizon: str, seconds: float, run_date: dt.date
+    spark: SparkSession,
+    path: str,
+    report: str,
+    horizon: str,
+    seconds: float,
+    run_date: dt.date,
+    rows: Mapping[str, int] | None = None,
 ) -> None:
-    """Appends the minutes a report took."""
+    """Appends the minutes a report took and the rows it wrote, by kind of table; NULL where it wrote none."""
+    rows = rows or {}
+    counts = [
+        F.lit(rows.get(f.name.removesuffix("_rows"))).cast(f.dataType).alias(f.name)
+        for f in RUN_LOG.fields
+        if f.name.endswith("_rows")
+    ]
     entry = spark.range(1).select(
         F.lit(report).alias("report"),
         F.lit(horizon).alias("horizon"),
         minutes(seconds).alias("run_time"),
         F.lit(run_date).alias("run_date"),
+        *counts,
     )
     entry.coalesce(1).write.mode("append").parquet(path)
 
