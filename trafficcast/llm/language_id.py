@@ -98,8 +98,9 @@ def page_parts(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     """(key, host, domain, suffix, declared, text) of every page, in column functions."""
     address, body = pages[url].cast("string"), F.coalesce(pages[html].cast("string"), F.lit(""))
     host = F.lower(F.regexp_extract(F.coalesce(address, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1))
-    declared = F.lower(F.regexp_extract(body, r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z]{2,3})(?![A-Za-z])", 1))
-    text = F.regexp_replace(body, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    declared = F.lower(F.regexp_extract(body, r"(?i)<html\b[^<>]*\blang\s*=\s*[\"']?([A-Za-z]{2,3})(?![A-Za-z])", 1))
+    # What is never closed runs to the end, and a tag ends before the next one: no place is scanned twice.
+    text = F.regexp_replace(body, r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>", " ")
     return pages.select(pages[key].alias("key"), host.alias("host"), declared.alias("declared"), text.alias("text")).select(
         "key", "host", F.substring_index("host", ".", -2).alias("domain"), F.substring_index("host", ".", -1).alias("suffix"), "declared", "text"
     )

@@ -3,9 +3,10 @@
 Licence texts are short templates of words. Every document keeps the places of the words that
 templates are made of; how many documents have a word gives its weight (IDF over the whole table).
 A template is looked up by its rarest words: each place of one in a document proposes a start, the
-document's place minus the template's. At a proposed start the template's postings are intersected
-with the document's by relative position; a label needs its mandatory key phrase in the text and
-enough of its weight in place. Base phrases are templates whose words must all be in place.
+document's place minus the template's. Places are joined to postings by word, and the places that agree
+on a document, a template and a start are counted together, so that the work grows with the places and
+not with their square. A label needs its mandatory key phrase in the text and enough of its weight in
+place. Base phrases are templates whose words must all be in place.
 """
 
 from __future__ import annotations
@@ -70,7 +71,7 @@ def scan_places(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     index = _index()
     vocabulary = sorted({w for t in index for _, w in t["places"]})
     phrases = sorted({t["key_phrase"] for t in index})
-    plain = keyed(docs, key, text).withColumn("mark", F.xxhash64("key", "text"))
+    plain = keyed(docs, key, text).withColumn("mark", F.monotonically_increasing_id())
     plain = plain.select("key", "mark", spaced(F.col("text")).alias("s"))
     plain = plain.select("key", "mark", "s", F.slice(F.split("s", " "), 2, 1 << 30).alias("w"))
     n_words = F.size("w").cast("long") - 1
@@ -105,41 +106,39 @@ def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     index = spark.createDataFrame(
         _index(), "template int, label string, key_phrase string, base boolean, places array<struct<at: bigint, word: string>>"
     ).withColumnRenamed("places", "own")
-    posted = index.select("template", "label", "key_phrase", "base", "own", F.explode("own").alias("p")).select("*", "p.*").drop("p")
+    posted = index.select("template", "label", "key_phrase", "base", F.explode("own").alias("p")).select("*", "p.*").drop("p")
     # A word that no document has weighs as if one had it: it cannot be found anyhow.
     top = F.coalesce(F.max("idf").over(_all()), F.lit(1.0))
     posted = posted.join(F.broadcast(weights), "word", "left").withColumn("idf", F.coalesce("idf", top))
-    rank = F.row_number().over(_by_rarity())
-    posted = staged(posted.withColumn("rank", rank), "index")
-    entries = posted.groupBy("template").agg(F.sum("idf").alias("whole"), F.collect_list(F.struct("at", "word", "idf")).alias("weighted"))
+    rare = F.row_number().over(_by_rarity()) <= F.when(F.col("base"), 1).otherwise(RAREST)
+    posted = staged(posted.withColumn("rare", rare), "index")
+    entries = posted.groupBy("template").agg(F.sum("idf").alias("whole"), F.count("*").alias("size"))
     # As many rows as the templates have indexed words.
-    lookup = posted.where(F.col("rank") <= F.when(F.col("base"), 1).otherwise(RAREST)).drop("idf", "rank", "own").join(F.broadcast(entries), "template")
+    lookup = posted.join(F.broadcast(entries), "template").withColumnRenamed("at", "t_at")
     found = (
-        scanned.select("key", "mark", "places", "phrases", F.explode("places").alias("d"))
-        .join(F.broadcast(lookup.withColumnRenamed("at", "t_at")), F.col("d.word") == F.col("word"))
+        scanned.where(F.size("phrases") > 0).select("mark", "phrases", F.explode("places").alias("d"))
+        .join(F.broadcast(lookup), F.col("d.word") == F.col("word"))
         .where(F.array_contains("phrases", F.col("key_phrase")))
-        .select("key", "mark", "template", "label", "base", "whole", "weighted", "places", (F.col("d.at") - F.col("t_at")).alias("start"))
+        .select("mark", "template", "label", "base", "whole", "size", "idf", "rare", (F.col("d.at") - F.col("t_at")).alias("start"))
         .where("start >= 0 or not base")
+    )
+    # A row of a document holds a place once, so each counts for one posting of the template.
+    matched = found.groupBy("mark", "template", "label", "base", "whole", "size", "start").agg(
+        F.count("*").alias("m"), F.sum("idf").alias("weight"), F.max("rare").alias("rare")
     )
-    inside = F.filter("weighted", lambda t: F.array_contains(F.col("places"), F.struct((t["at"] + F.col("start")).alias("at"), t["word"].alias("word"))))
-    matched = found.select("key", "mark", "template", "label", "base", "whole", "start", inside.alias("m"), F.size("weighted").alias("size"))
-    matched = matched.where((~F.col("base") | (F.size("m") == F.col("size"))) & (F.size("m") > 0))
-    weight = F.aggregate("m", F.lit(0.0), lambda a, x: a + x["idf"])
-    matched = matched.select("key", "mark", "template", "label", "base", "start", F.least(F.lit(1.0), weight / F.col("whole")).alias("share"))
-    # Several rarest words may propose one start.
-    matched = matched.groupBy("key", "mark", "template", "start").agg(F.first("label").alias("label"), F.first("base").alias("base"), F.max("share").alias("share"))
+    matched = matched.where(F.col("rare") & (~F.col("base") | (F.col("m") == F.col("size"))))
+    matched = matched.withColumn("share", F.least(F.lit(1.0), F.col("weight") / F.col("whole")))
     base, good = F.col("base"), F.col("base") | (F.col("share") >= ENOUGH)
     joined = lambda names: F.concat_ws(",", F.array_sort(F.collect_set(names)))
-    per_doc = matched.groupBy("key", "mark").agg(
+    per_doc = matched.groupBy("mark").agg(
         F.count(F.when(base, 1)).alias("n_base"),
         F.min(F.when(base, F.col("start"))).alias("first_word"),
         F.max(F.when(base, F.col("start"))).alias("last_word"),
         joined(F.when(base, F.col("label"))).alias("base_labels"),
         joined(F.when(good, F.col("label"))).alias("labels"),
         F.max(F.when(base, F.lit(1.0)).otherwise(F.col("share"))).alias("score"),
-    ).withColumnsRenamed({"key": "k", "mark": "m"})
-    rows = scanned.select("key", "mark", "n_words")
-    result = rows.join(per_doc, (F.col("mark") == F.col("m")) & F.col("key").eqNullSafe(F.col("k")), "left")
+    )
+    result = scanned.select("key", "mark", "n_words").join(per_doc, "mark", "left")
     return result.select(
         F.col("key").alias(key),
         "n_words",
