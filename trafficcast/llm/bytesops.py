@@ -64,7 +64,9 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """Running sums whose differences give the hash of any span."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_WEIGHTS[data] * _power(_GOLDEN, len(data)), out=sums[1:])
+    weighed = _WEIGHTS[data]
+    weighed *= _power(_GOLDEN, len(data))
+    np.cumsum(weighed, out=sums[1:])
     return sums
 
 

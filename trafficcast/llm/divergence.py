@@ -32,6 +32,8 @@ from trafficcast.llm.common import documents, staged
 MIN_DOCS = 3
 TOP = 200
 UNIT = 1_000_000_000
+#: Bytes of text whose counts a task sums before it passes them on.
+SUM_BYTES = 4 << 20
 #: Pairs of postings worked on at once, and sums held by one task before it passes them on.
 PAIRS = 1 << 20
 HELD = 1 << 20
@@ -106,10 +108,11 @@ def postings(texts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SUM_BYTES):
                 yield _term_rows(part)
 
-    rows = texts.mapInArrow(run, "lang string, source string, term string, n long, d long")
+    # A slice has summed its rows already, so they go to their term at once, and stay there for both sums.
+    rows = texts.mapInArrow(run, "lang string, source string, term string, n long, d long").repartition("lang", "term")
     sums = rows.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
     lists = sums.groupBy("lang", "term").agg(
         F.sum("n").alias("n"), F.sum("d").alias("d"), F.collect_list(F.struct("source", "n")).alias("posts")
