@@ -237,7 +237,8 @@ class Vocabulary:
 
     def _reset(self) -> None:
         self.cache.clear()
-        self.known_words: dict[str, list[int]] = {}
+        #: By word, and by special string as a tuple of one.
+        self.known_words: dict[str | tuple[str], list[int]] = {}
         self.flat = np.zeros(1 << 16, np.int32)
         self.used = 0
         self.run_start: list[int] = []
@@ -245,26 +246,34 @@ class Vocabulary:
 
     def learn(self, names: list[bytes]) -> None:
         """Encodes unseen runs and remembers their ids."""
-        parts = [list(self.pieces(x.decode("utf-8", "replace"))) for x in names]
+        texts = [x.decode("utf-8", "replace") for x in names]
+        together = "\n".join(texts)
+        if any(s in together for s in self.special):
+            parts = [[(w,) if special else w for special, w in self.pieces(t)] for t in texts]
+        else:
+            # A run has no ASCII white space, so an ASCII one only has to be lower-cased.
+            words = self.words.findall
+            parts = [words(t.lower()) if t.isascii() else self.split(t) for t in texts]
         letters, known = self.letters, self.known_words
-        new = {w for part in parts for special, w in part if not special and w not in known}
-        words = list(new)
+        new = {w for part in parts for w in part if w not in known}
+        marks = [w for w in new if isinstance(w, tuple)]
+        known.update((w, [self.special[w[0]]]) for w in marks)
+        words = list(new.difference(marks))
         shown = [w if w.isascii() and w.isprintable() else "".join(letters[x] for x in w.encode("utf-8", "replace")) for w in words]
         known.update(zip(words, self.encode_words(shown), strict=True))
-        for name, part in zip(names, parts, strict=True):
-            ids: list[int] = []
-            for special, w in part:
-                if special:
-                    ids.append(self.special[w])
-                else:
-                    ids += known[w]
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.cache[name] = len(self.run_start)
-            self.run_start.append(self.used)
-            self.run_length.append(len(ids))
-            self.used += len(ids)
+        ids: list[int] = []
+        at = len(self.run_start)
+        for part in parts:
+            before = len(ids)
+            for w in part:
+                ids += known[w]
+            self.run_start.append(self.used + before)
+            self.run_length.append(len(ids) - before)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.cache.update(zip(names, range(at, at + len(names)), strict=True))
 
 
 def vocabulary(path: str) -> Vocabulary:
