@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from trafficcast.functions.columns import event_date
 from trafficcast.operators.filters import allow_apps
 from trafficcast.plans.nightly import RUN_LOG_TABLE, monitor, result_path, run_night
 from trafficcast.plans.reports import REPORTS, report
@@ -235,3 +236,25 @@ def test_without_realtime_only_the_analysis_is_published(spark, tmp_path):
     spec = REPORTS["p8"]
     found = {k: table_exists(spark, result_path(base, spec, k, "48h")) for k in ("data", "forecast", "valid", "analyse")}
     assert found == {"data": False, "forecast": False, "valid": False, "analyse": True}
+
+
+def test_times_become_partition_bounds(spark, tmp_path):
+    """A window, and what is retained, read only the folders of their dates."""
+    path = str(tmp_path / "dated")
+    points = event_points(spark, "/root/testdata/sf0.001")
+    points.withColumn("event_date", event_date("time_stamp")).write.partitionBy("event_date").parquet(path)
+    table = read_datapoints(spark, path)
+    lo, hi = (I.midnight_ms(dt.date(2024, 1, d)) for d in (10, 12))
+
+    def pruned(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [part.split("PushedFilters")[0] for part in plan.split("PartitionFilters: ")[1:]]
+
+    for closed in ("left", "right"):
+        window = pull_window(table, lo, hi, closed)
+        assert all("event_date" in p for p in pruned(window))
+        assert window.count() == pull_window(points, lo, hi, closed).count() > 0
+        assert {f.split("event_date=")[1][:10] for f in window.inputFiles()} >= {"2024-01-10", "2024-01-11"}
+    kept = I.retained(table, 5)
+    assert any("event_date" in p and "subquery" in p.lower() for p in pruned(kept))
+    assert kept.count() == I.retained(points, 5).count() > 0

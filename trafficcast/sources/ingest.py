@@ -12,7 +12,7 @@ from trafficcast.constants import MS_PER_DAY, RETENTION_DAYS
 from trafficcast.functions.columns import event_date
 from trafficcast.schemas import stored
 from trafficcast.sources.files import drop_folder, drop_partition, exists, move_partitions, partitions, table_exists, touch
-from trafficcast.sources.tables import pull_window
+from trafficcast.sources.tables import on_dates, pull_window
 
 
 def high_water_mark(points: DataFrame) -> DataFrame:
@@ -46,9 +46,9 @@ def bootstrap_window(source: DataFrame, today: dt.date, days: int = RETENTION_DA
 
 
 def retained(points: DataFrame, days: int = RETENTION_DAYS) -> DataFrame:
-    """Rows of the last days before the latest stored time, that time included."""
+    """Rows of the last days before the latest stored time, that time included; older dates are not read."""
     floor = high_water_mark(points).select(F.col("time_stamp") - days * MS_PER_DAY).scalar()
-    return points.filter(F.col("time_stamp") >= floor)
+    return on_dates(points, floor).filter(F.col("time_stamp") >= floor)
 
 
 # -- actions on a stored table -----------------------------------------------

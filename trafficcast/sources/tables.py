@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trafficcast.schemas import ATTRIBUTE, ATTRIBUTE_COLUMNS, DATAPOINT, stored
+from trafficcast.functions.columns import event_date
+from trafficcast.schemas import ATTRIBUTE, ATTRIBUTE_COLUMNS, DATAPOINT, PARTITION, stored
 
 
 def read_datapoints(spark: SparkSession, path: str) -> DataFrame:
@@ -43,11 +44,22 @@ def load_csv(
 def pull_window(source: DataFrame, lo: Column | int, hi: Column | int, closed: str = "left") -> DataFrame:
     """Rows between two times (epoch milliseconds); `closed` names the bound that is included.
 
-    The bounds are plain comparisons, so file and database sources get them pushed down.
+    The bounds are plain comparisons, so file and database sources get them pushed down. On a stored
+    table they become bounds of its dates as well, and no other folder is read.
     """
-    ts = F.col("time_stamp")
+    ts, source = F.col("time_stamp"), on_dates(source, lo, hi)
     if closed == "left":
         return source.filter((ts >= lo) & (ts < hi))
     if closed == "right":
         return source.filter((ts > lo) & (ts <= hi))
     raise ValueError(f"closed must be 'left' or 'right', not {closed!r}")
+
+
+def on_dates(stored_points: DataFrame, lo: Column | int, hi: Column | int | None = None) -> DataFrame:
+    """The rows whose `event_date` may hold times from lo to hi (epoch milliseconds); all, if there is no such column."""
+    if PARTITION.name not in stored_points.columns:
+        return stored_points
+    bounds = F.col(PARTITION.name) >= event_date(F.lit(lo))
+    if hi is not None:
+        bounds &= F.col(PARTITION.name) <= event_date(F.lit(hi))
+    return stored_points.filter(bounds)
