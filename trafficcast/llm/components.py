@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from trafficcast.session import staged
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 30))).first())
+def _same(links: DataFrame, before: DataFrame) -> bool:
+    """Whether two tables of distinct links hold the same ones."""
+    return links.count() == before.count() and links.join(before, ["u", "v"], "left_anti").isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -23,7 +24,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     links = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     links = staged(links.distinct(), "links")
-    before = _state(links)
     while True:
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -32,10 +32,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        links = staged(small, "links")
-        now = _state(links)
-        if now == before:
+        before, links = links, staged(small, "links")
+        if _same(links, before):
             return links.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).union(
                 links.select("v", F.col("v").alias("r")).distinct()
             )
-        before = now

@@ -201,6 +201,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return prints.join(named, "fp").select(key, "fp", "component_id")
 
 
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, max_bits: int = 4) -> DataFrame:
+    """The rows of `docs`, all columns, without those whose component has a document of a smaller key.
+
+    A document is a key with a text: rows of one key and other texts are judged each for itself, in
+    the order of a hash; rows that repeat key and text are one document and stay or go together.
+    Documents without a key come after all others. An empty table gives none.
+    """
+    mark = F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit("")))
+    name = F.struct(docs[key].isNull().alias("lacking"), docs[key].alias("key"), mark.alias("mark"))
+    found = near_duplicates(docs.select(name.alias("name"), docs[text].alias("text")), "name", "text", words, max_bits)
+    others = found.where("name <> component_id").select(F.col("name.key").alias("__key"), F.col("name.mark").alias("__mark"))
+    marked = docs.withColumn("__at", mark)
+    same = (F.col("__at") == F.col("__mark")) & F.col(f"`{key}`").eqNullSafe(F.col("__key"))
+    return marked.join(others, same, "left_anti").drop("__at")
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(documents(spark, folder))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
