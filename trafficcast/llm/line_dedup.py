@@ -1,8 +1,9 @@
 """Line dedup by a deletion-neighbourhood join, in DataFrame functions only.
 
-A line is dropped if an earlier line of the table is equal to it or one edit away (a character
-inserted, deleted or replaced). Lines are taken trimmed, in the order of document key and line
-number; lines under MIN_CHARS are left alone.
+A line is dropped if an earlier line of the table is equal to it, whatever its length, or, from
+`near_chars` characters on, one edit away (a character inserted, deleted or replaced) from a line as
+long as that. Lines are taken trimmed, in the order of document key and line number; blank lines are
+left alone.
 
 Two lines one edit apart share a deletion variant: replaced at the same place, or one is the other
 with a character deleted. All variants of all lines would be as many rows as characters, so three
@@ -20,13 +21,12 @@ from pyspark.sql import functions as F
 
 from trafficcast.llm.common import documents, keyed, staged
 
-MIN_CHARS = 16
+#: Characters from which on one edit is no difference; in shorter lines it makes another word.
+NEAR_CHARS = 16
 BLOCK = 64
 #: Distinct lines that may have a near partner are broadcast up to this many (16 bytes each).
 BROADCAST_LINES = 1 << 20
 
-_SECOND = F.lit
-
 
 def exploded_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, mark, no, line): every line of every row; `mark` tells rows of one key apart."""
@@ -37,8 +37,8 @@ def exploded_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _named(lines: DataFrame) -> DataFrame:
-    """Lines that count, with their length and a name of 128 bits."""
-    sized = lines.withColumn("n", F.char_length("line")).where(F.col("n") >= MIN_CHARS)
+    """Lines that are not blank, with their length and a name of 128 bits."""
+    sized = lines.withColumn("n", F.char_length("line")).where(F.col("n") > 0)
     return sized.withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit(1), "line"))
 
 
@@ -83,10 +83,11 @@ def _variants(middle: Column, size: Column, longer: Column) -> Column:
     return F.when(longer, F.array_distinct(deleted)).otherwise(F.concat(replaced, as_is))
 
 
-def distinct_lines(named: DataFrame) -> DataFrame:
-    """(h1, h2, first, keys): every distinct line, where it stands first, and its half keys."""
+def distinct_lines(named: DataFrame, near_chars: int = NEAR_CHARS) -> DataFrame:
+    """(h1, h2, first, keys): every distinct line, where it stands first, and its half keys if it is long enough."""
     first = F.min(F.struct("key", "mark", "no")).alias("first")
-    return named.select("key", "mark", "no", "h1", "h2", _halves(F.col("line"), F.col("n")).alias("keys")).groupBy("h1", "h2").agg(
+    keys = F.when(F.col("n") >= near_chars, _halves(F.col("line"), F.col("n")))
+    return named.select("key", "mark", "no", "h1", "h2", keys.alias("keys")).groupBy("h1", "h2").agg(
         first, F.first("keys").alias("keys")
     )
 
@@ -137,11 +138,11 @@ def near_lines(named: DataFrame, distinct: DataFrame) -> DataFrame:
     return checked.groupBy("h1", "h2").agg(F.min("p.first").alias("keeper"))
 
 
-def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", near_chars: int = NEAR_CHARS) -> DataFrame:
     """(key, mark, n_lines, n_near, dropped): one row for each key and text, dropped line numbers sorted."""
     lines = exploded_lines(docs, key, text)
     named = _named(lines)
-    distinct = staged(distinct_lines(named), "distinct")
+    distinct = staged(distinct_lines(named, near_chars), "distinct")
     near = near_lines(named, distinct).withColumnsRenamed({"h1": "n1", "h2": "n2"})
     judged = distinct.join(near, (F.col("h1") == F.col("n1")) & (F.col("h2") == F.col("n2")), "left").select("h1", "h2", "first", "keeper")
     places = named.select("key", "mark", "no", "h1", "h2").join(judged, ["h1", "h2"])
@@ -154,7 +155,7 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", near_chars: int = NEAR_CHARS) -> DataFrame:
     """All columns of `docs`, with the dropped lines taken out of the text.
 
     Kept lines stay as they are, untrimmed, joined by line feeds; rows stay even if no line is left.
@@ -162,7 +163,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     alike; rows of one key with other texts come in the order of a hash; a null key comes first. An
     empty table gives none. No column name can clash. Writes its steps to the shared folder.
     """
-    bad = dropped_lines(docs, key, text).select(F.col("key").alias("__key"), F.col("mark").alias("__mark"), F.col("dropped").alias("__dropped"))
+    bad = dropped_lines(docs, key, text, near_chars).select(F.col("key").alias("__key"), F.col("mark").alias("__mark"), F.col("dropped").alias("__dropped"))
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     marked = docs.withColumn("__at", F.xxhash64(docs[key], body))
     joined = marked.join(bad, (F.col("__at") == F.col("__mark")) & F.col(f"`{key}`").eqNullSafe(F.col("__key")), "left")
@@ -190,14 +191,15 @@ OP4_SQL = r"""
 WITH lines AS (
   SELECT doc_id, i - 1 AS no, trim(parts[i], ' ' || chr(9) || chr(13)) AS line
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents), range(1, len(parts) + 1) AS r(i)),
-counted AS (SELECT * FROM lines WHERE length(line) >= 16),
+counted AS (SELECT * FROM lines WHERE length(line) > 0),
 firsts AS (SELECT line, length(line) AS n, min({'d': doc_id, 'i': no}) AS first FROM counted GROUP BY line),
+long AS (SELECT * FROM firsts WHERE n >= 16),
 pairs AS (
   SELECT DISTINCT a.line AS a, b.line AS b, a.first AS fa, b.first AS fb
-  FROM firsts a JOIN firsts b ON b.n IN (a.n, a.n - 1) AND left(a.line, b.n // 2) = left(b.line, b.n // 2) AND a.line <> b.line
+  FROM long a JOIN long b ON b.n IN (a.n, a.n - 1) AND left(a.line, b.n // 2) = left(b.line, b.n // 2) AND a.line <> b.line
   UNION
   SELECT DISTINCT a.line, b.line, a.first, b.first
-  FROM firsts a JOIN firsts b ON b.n IN (a.n, a.n - 1) AND right(a.line, b.n - b.n // 2) = right(b.line, b.n - b.n // 2) AND a.line <> b.line),
+  FROM long a JOIN long b ON b.n IN (a.n, a.n - 1) AND right(a.line, b.n - b.n // 2) = right(b.line, b.n - b.n // 2) AND a.line <> b.line),
 close AS (
   SELECT * FROM pairs WHERE len(list_filter(range(0, length(a)), lambda i: left(a, i) = left(b, i)
     AND substr(a, i + 2) = substr(b, i + 1 + length(b) - (length(a) - 1)))) > 0),
