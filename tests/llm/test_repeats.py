@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import ODD, SMALL, frame, fuzz
@@ -54,5 +55,26 @@ def test_repeated_rows_null_keys_and_none(spark):
     assert repeats.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_strings_that_polynomials_take_for_equal(spark):
+    """Thue-Morse strings and their complements, whole and dealt out."""
+    a = "".join("es"[bin(i).count("1") % 2] for i in range(1024))
+    data = [a, a.translate(str.maketrans("es", "se")), "x" + a[:1000], "end"]
+    rows = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(frame(spark, data), span=600).collect()}
+    assert [rows[i] for i in range(len(data))] == slow_removal(data, 600)
+    with pytest.raises(ValueError):
+        repeats.remove_repeats(frame(spark, data), span=9000)
+
+
+def test_judged_streams_groups_over_batches():
+    """A group that spans many batches comes out once, as if it had been in one."""
+    rows = [(1, -1, 5, i, i) for i in range(10)] + [(1, -1, 6, 10, 10)] + [(2, 0, 7, 11, 11)] + [(2, 1, 7, 12, 12)] + [(3, -1, 8, 13, 13)]
+    names = ["gram", "salt", "context", "mark", "place"]
+    batch = lambda part: pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part, strict=True)], names=names)
+    whole = pa.Table.from_batches(repeats._judged(iter([batch(rows)]))).sort_by("mark")
+    for size in (1, 2, 3, 7):
+        parts = [batch(rows[i : i + size]) for i in range(0, len(rows), size)]
+        assert pa.Table.from_batches(repeats._judged(iter(parts))).sort_by("mark").equals(whole)
+
+
 def test_query_covers_the_table(spark):
     assert repeats.op8_repeats(spark, SMALL).count() == 200

@@ -1,4 +1,4 @@
-"""Removal of long repeated byte strings, by merging suffix orders with interleave refinement.
+"""Removal of long repeated byte strings: equal contexts counted, differing ones merged as suffix orders.
 
 A byte is removed if a string of SPAN bytes that covers it also starts anywhere else, in the same
 text or another. Three steps keep the work in proportion to what repeats:
@@ -7,8 +7,8 @@ text or another. Three steps keep the work in proportion to what repeats:
    equals). That depends on the window's bytes alone, so equal windows name equal grams at equal
    offsets. Consecutive windows naming one place form its context, the bytes from the first window's
    start to the last one's end. Every window lies in exactly one context.
-2. Contexts that are equal as a whole repeat as a whole. That is a grouped count of (gram, context)
-   hashes and needs no bytes.
+2. Contexts that are equal as a whole repeat as a whole. That is a grouped count by the hash of the
+   gram and, independent of it, the XXH3 digest of the whole context's bytes.
 3. Only where a gram has several different contexts are bytes compared, one context of each kind. A
    group's contexts, aligned at their gram, are merged as Burrows-Wheeler transforms are: starting
    from the far end, the order of all suffixes that start at one column gives that of the column
@@ -17,8 +17,8 @@ text or another. Three steps keep the work in proportion to what repeats:
    of at least SPAN bytes at a column are the repeated intervals; no suffix is sorted anew.
 
 A whole-corpus transform would need a refinement round over all bytes for each of SPAN bytes; here
-rounds run over contexts, within one group of one gram. A gram with more than GROUP different
-contexts is not gathered: its windows are counted by 128-bit hashes in Spark instead.
+rounds run over contexts, within one group of one gram. The contexts of a gram with more than GROUP
+of them are dealt out, and their windows counted by 128-bit digests in Spark instead.
 """
 
 from __future__ import annotations
@@ -27,17 +27,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficcast.llm.bytesops import _GOLDEN, mixed, prefix_hash, slices, span_hash, text_bytes
+from trafficcast.llm.bytesops import mixed, prefix_hash, slices, span_hash, text_bytes
 from trafficcast.llm.common import documents, keyed, staged
 
 SPAN = 200
 GRAM = 48
 GROUP = 20_000
-#: Grams with more occurrences than this are dealt out to SALTS tasks first.
+#: Grams with more occurrences than this are dealt out by SALTS, those with SALTS times as many by its square, and so on.
 HOT = 50_000
 SALTS = 64
 #: Contexts merged at once by one task.
@@ -47,13 +48,13 @@ TABLE_BITS = 24
 
 
 class Contexts:
-    """Anchors of one slice: place of the gram, first and last window, text, and both hashes."""
+    """Anchors of one slice: place of the gram, first and last window, text, and the gram's hash."""
 
     def __init__(self, column: pa.Array, span: int, gram: int):
         self.data, self.offsets = text_bytes(column)
         n = len(self.data)
         none = np.zeros(0, np.int64)
-        self.gram = self.context = none.astype(np.uint64)
+        self.span, self.gram = span, none.astype(np.uint64)
         self.at = self.low = self.high = self.owner = none
         self.sums = prefix_hash(self.data)
         if n < span:
@@ -81,9 +82,12 @@ class Contexts:
         self.at = place[self.low]
         self.owner = np.searchsorted(self.offsets, self.low, side="right") - 1
         self.gram = hashes[self.at]
-        ends = self.high + span
-        offset = (self.at - self.low).astype(np.uint64) * np.uint64(_GOLDEN)
-        self.context = mixed(span_hash(self.sums, self.low, ends) ^ mixed(offset))
+
+    def names(self, keep: np.ndarray) -> np.ndarray:
+        """Digests of the chosen contexts' bytes, seeded with the gram's place in them."""
+        raw, digest = memoryview(self.data), xxhash.xxh3_64_intdigest
+        chosen = zip(self.low[keep].tolist(), (self.high[keep] + self.span).tolist(), (self.at - self.low)[keep].tolist(), strict=True)
+        return np.fromiter((digest(raw[a:b], s) for a, b, s in chosen), np.uint64, len(keep))
 
 
 def _has(table: bytes, hashes: np.ndarray) -> np.ndarray:
@@ -113,9 +117,10 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Of a gram that is dealt out, every context counts as pending, as other tasks may have more of it.
     """
     names = ("gram", "salt", "context", "mark", "place")
-    held = [np.zeros(0, np.int64)] * 5
+    held: list[list[np.ndarray]] = []
 
-    def found(gram, salt, context, mark, place):
+    def found() -> pa.RecordBatch:
+        gram, salt, context, mark, place = (np.concatenate(parts) for parts in zip(*held, strict=True))
         fresh_gram = np.ones(len(gram), bool)
         fresh_gram[1:] = (gram[1:] != gram[:-1]) | (salt[1:] != salt[:-1])
         fresh = fresh_gram.copy()
@@ -130,26 +135,37 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(x[at]) for x in (mark, gram, context, place, n)] + [pa.array(role, pa.string())], names=["mark", "gram", "context", "place", "n", "role"])
 
     for batch in batches:
-        held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, names, strict=True)]
-        changes = np.flatnonzero((held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1]))
-        cut = int(changes[-1]) + 1 if len(changes) else 0
-        if cut:
-            yield found(*(h[:cut] for h in held))
-            held = [h[cut:] for h in held]
-    if len(held[0]):
-        yield found(*held)
+        if not len(batch):
+            continue
+        new = [batch.column(c).to_numpy() for c in names]
+        if held and (held[-1][0][-1], held[-1][1][-1]) != (new[0][0], new[1][0]):
+            yield found()
+            held = []
+        changes = np.flatnonzero((new[0][1:] != new[0][:-1]) | (new[1][1:] != new[1][:-1]))
+        if len(changes):
+            cut = int(changes[-1]) + 1
+            held.append([x[:cut] for x in new])
+            yield found()
+            held, new = [], [x[cut:] for x in new]
+        held.append(new)
+    if held:
+        yield found()
 
 
 def _occurrence(key: np.ndarray, low: np.ndarray) -> np.ndarray:
     return mixed(key.view(np.uint64) ^ mixed(low.astype(np.uint64)))
 
 
-def _scan(marked: DataFrame, what: str, span: int, gram: int, table: bytes = b"", hot: bytes = b"") -> DataFrame:
-    """One pass over the texts: grams, the occurrences the table has, or the contexts' bytes."""
+def _scan(marked: DataFrame, what: str, span: int, gram: int, table: bytes = b"", hot: tuple[bytes, ...] = ()) -> DataFrame:
+    """One pass over the texts: grams, the occurrences the table has, or the contexts' bytes.
+
+    Occurrences are dealt out by a power of SALTS for every table of `hot` that has their gram; bytes
+    of such grams are dealt out by context.
+    """
     schemas = {
         "grams": "h long",
         "places": "mark long, gram long, context long, place long, salt long",
-        "bytes": "gram long, context long, lead int, bytes binary",
+        "bytes": "gram long, context long, lead int, bytes binary, alone boolean, salt long",
     }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,16 +179,22 @@ def _scan(marked: DataFrame, what: str, span: int, gram: int, table: bytes = b""
                 start = c.offsets[c.owner]
                 low = c.low - start
                 keep = np.flatnonzero(_has(table, c.gram if what == "places" else _occurrence(mark, low)))
-                longs = [pa.array(x[keep].view(np.int64)) for x in (c.gram, c.context)]
+                context = c.names(keep)
+                longs = [pa.array(x.view(np.int64)) for x in (c.gram[keep], context)]
+                level = sum((_has(h, c.gram[keep]).astype(np.uint64) for h in hot), np.zeros(len(keep), np.uint64))
                 if what == "places":
-                    salt = np.where(_has(hot, c.gram[keep]), mixed(mark[keep]) % np.uint64(SALTS), np.uint64(2**64 - 1)).astype(np.uint64).view(np.int64)
+                    turn = _occurrence(mark[keep], low[keep]) % np.uint64(SALTS) ** level
+                    salt = np.where(level > 0, turn.view(np.int64), -1)
                     place = pa.array(_packed(low, c.at - c.low, c.high - c.low)[keep])
                     yield pa.RecordBatch.from_arrays([pa.array(mark[keep]), *longs, place, pa.array(salt)], names=["mark", "gram", "context", "place", "salt"])
                 else:
                     raw = c.data.tobytes()
                     texts = [raw[a:b] for a, b in zip(c.low[keep].tolist(), (c.high[keep] + span).tolist(), strict=True)]
                     lead = pa.array((c.at - c.low)[keep].astype(np.int32))
-                    yield pa.RecordBatch.from_arrays([*longs, lead, pa.array(texts, pa.binary())], names=["gram", "context", "lead", "bytes"])
+                    alone = level > 0
+                    salt = pa.array(np.where(alone, context.view(np.int64), 0))
+                    columns = [*longs, lead, pa.array(texts, pa.binary()), pa.array(alone), salt]
+                    yield pa.RecordBatch.from_arrays(columns, names=["gram", "context", "lead", "bytes", "alone", "salt"])
 
     return marked.mapInArrow(run, schemas[what])
 
@@ -216,11 +238,14 @@ def repeated_columns(groups: np.ndarray, leads: np.ndarray, texts: list[bytes],
 
 
 def _merged(span: int, gram: int):
-    """Streams groups of contexts, sorted by gram; gives (gram, context, from, to) window starts."""
+    """Streams groups of contexts, sorted by gram; gives (gram, context, from, to) window starts.
+
+    Contexts that were dealt out give all their windows with digests instead.
+    """
     back = span - gram
 
     def batch_of(grams, contexts, starts, ends, one=None, two=None) -> pa.RecordBatch:
-        hashes = [pa.nulls(len(grams), pa.int64()) if x is None else pa.array(x.view(np.int64)) for x in (one, two)]
+        hashes = [pa.nulls(len(grams), pa.int64()) if x is None else pa.array(x) for x in (one, two)]
         ints = [pa.array(x.astype(np.int32)) for x in (starts, ends)]
         return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(contexts), *ints, *hashes], names=["gram", "context", "from", "to", "w1", "w2"])
 
@@ -236,32 +261,25 @@ def _merged(span: int, gram: int):
         return batch_of(grams[row], np.array([r[1] for r in rows])[row], begin - back, end - 1 - back)
 
     def windows(row) -> pa.RecordBatch:
-        """Every window of a context by two hashes."""
+        """Every window of a context by both halves of its 128-bit digest."""
         name, context, lead, text = row
-        data = np.frombuffer(text, np.uint8)
-        starts = np.arange(len(data) - span + 1)
-        one = span_hash(prefix_hash(data), starts, starts + span)
-        two = span_hash(prefix_hash(data[::-1]), len(data) - span - starts, len(data) - starts)
+        starts = np.arange(len(text) - span + 1)
+        digests = b"".join(xxhash.xxh3_128_digest(text[s : s + span]) for s in starts.tolist())
+        halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
         same = np.ones(len(starts), np.int64)
-        return batch_of(same * name, same * context, starts - lead, starts - lead, one, two)
+        return batch_of(same * name, same * context, starts - lead, starts - lead, halves[:, 0], halves[:, 1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
-        spread = None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "context", "lead", "bytes")), strict=True):
-                if row[0] == spread:
+            for *row, alone in zip(*(batch.column(c).to_pylist() for c in ("gram", "context", "lead", "bytes", "alone")), strict=True):
+                if alone:
                     yield windows(row)
                     continue
                 if held and row[0] != held[-1][0] and len(held) >= TOGETHER:
                     yield resolve(held)
                     held = []
                 held.append(row)
-                if len(held) > GROUP and held[-1 - GROUP][0] == row[0]:
-                    spread = row[0]
-                    first = next(i for i, r in enumerate(held) if r[0] == spread)
-                    yield from map(windows, held[first:])
-                    held = held[:first]
         if held:
             yield resolve(held)
 
@@ -271,10 +289,15 @@ def _merged(span: int, gram: int):
 def repeated_spans(marked: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """(mark, start, end): stretches of bytes covered by repeated strings, as found.
 
-    `marked` has mark and text; no mark occurs twice.
+    `marked` has mark and text; no mark occurs twice. `span` may exceed `gram` by 4,095 at most.
     """
+    if not 0 <= span - gram < 4096:
+        raise ValueError("span must be gram to gram + 4095")
     grams = staged(_scan(marked, "grams", span, gram).groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "grams")
-    places = _scan(marked, "places", span, gram, _bit_table(grams), _bit_table(grams.where(F.col("n") > HOT)))
+    most, hot, least = grams.agg(F.max("n")).first()[0] or 0, (), HOT
+    while most > least:
+        hot, least = (*hot, _bit_table(grams.where(F.col("n") > least))), least * SALTS
+    places = _scan(marked, "places", span, gram, _bit_table(grams), hot)
     dealt = places.select("gram", "salt", "context", "mark", "place").repartition("gram", "salt").sortWithinPartitions("gram", "salt", "context")
     judged = dealt.mapInArrow(_judged, "mark long, gram long, context long, place long, n long, role string")
     judged = staged(judged, "judged")
@@ -282,7 +305,7 @@ def repeated_spans(marked: DataFrame, span: int = SPAN, gram: int = GRAM) -> Dat
     repeated = judged.where("role = 'whole'").select("mark", "place")
     pending = judged.where("role = 'pending'")
     if pending.limit(1).count():
-        # At most SALTS rows a context.
+        # A row for each context and salt at most.
         kinds = pending.groupBy("gram", "context").agg(F.sum("n").alias("n"), F.min(F.struct("mark", "place")).alias("one"))
         kinds = staged(kinds, "kinds")
         several = kinds.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
@@ -291,7 +314,9 @@ def repeated_spans(marked: DataFrame, span: int = SPAN, gram: int = GRAM) -> Dat
         repeated = repeated.union(single.join(kinds.where("n > 1").select("gram", "context"), ["gram", "context"]).select("mark", "place"))
         contested = staged(contested, "contested")
     marks = contested.select("mark", "place").mapInArrow(_named_occurrences, "h long")
-    texts = _scan(marked, "bytes", span, gram, _bit_table(marks)).repartition("gram").sortWithinPartitions("gram")
+    crowded = contested.groupBy(F.col("gram").alias("h")).agg(F.count("*").alias("n")).where(F.col("n") > GROUP)
+    texts = _scan(marked, "bytes", span, gram, _bit_table(marks), (_bit_table(crowded),))
+    texts = texts.repartition("gram", "salt").drop("salt").sortWithinPartitions("gram")
     merged = staged(texts.mapInArrow(_merged(span, gram), "gram long, context long, `from` int, `to` int, w1 long, w2 long"), "merged")
     names = ["gram", "from", "w1", "w2"]
     # Places that the bit table lets through may give a window twice; each context counts once.
@@ -319,8 +344,9 @@ def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compressed texts, as they are shuffled whole."""
     press = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        packed = [press.compress(t.encode()) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("mark"), pa.array(packed, pa.binary())], names=["key", "mark", "packed"])
+        for part in slices(batch, "text"):
+            packed = [press.compress(t.encode()) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("key"), part.column("mark"), pa.array(packed, pa.binary())], names=["key", "mark", "packed"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
