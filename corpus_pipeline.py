@@ -10,36 +10,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficcast.llm import bpe, decontaminate, line_dedup, near_copies, quality
+from trafficcast.llm import bpe, decontaminate, line_dedup, quality, simhash
 from trafficcast.session import ship, staged
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; it is fitted on labelled texts of `docs`."""
+    """Documents that the classifier accepts; it is fitted on labelled texts of `docs`.
+
+    Null and empty texts are scored like any other; rows that repeat are judged alike; labels without
+    a document, or none at all, leave a model that accepts everything. An empty table gives none.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, quality.ratings(labels))
     return quality.accepted(docs, model)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that stand earlier; n_chars follows the text."""
+    """Documents without the lines that stand earlier; n_chars, if there is one, follows the text.
+
+    No row goes: a text of which no line is left is empty, a null text stays null. Rows that repeat id
+    and text are cut alike. An empty table gives none.
+    """
     cut = line_dedup.dedup_lines(docs)
-    return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.select(docs.columns)
 
 
 def copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that of the smallest id.
+    """One document of each SimHash group, that of the smallest id; rows without an id come last.
 
-    Groups are taken on five-word shingles at a similarity of 0.8; texts without words are one group.
-    Rows of one id stay or go together, rows without an id stay.
+    Groups are those of the operator's own query: four-word shingles, four differing bits. Null and
+    empty texts and texts without words have one fingerprint and are a group like any other. Rows
+    that repeat id and text are one document. An empty table gives none.
     """
-    found = near_copies.similar_texts(docs, words=5, similarity=0.8)
-    others = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    return simhash.representatives(docs, words=4, max_bits=4).select(docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark."""
+    """Documents that are not contaminated by the benchmark.
+
+    Null and empty texts have no words and stay; rows of one id go together if one is contaminated;
+    rows without an id stay. An empty benchmark takes nothing, an empty table gives none.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.flagged(decontaminate.contamination(docs, benchmark))
     bad = found.where("contaminated").select("doc_id").distinct()
@@ -47,7 +60,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids and n_tokens of what is left."""
+    """doc_id, ids and n_tokens of every row that is left; null and empty texts have no ids."""
     import public_tokenizers
 
     return bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id", "n_tokens", "ids")
@@ -56,7 +69,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality", quality_stage),
     ("lines", line_stage),
-    ("near_copies", copies_stage),
+    ("simhash", copies_stage),
     ("benchmark", benchmark_stage),
     ("tokens", token_stage),
 ]
