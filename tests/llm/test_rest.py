@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD, SMALL, frame
+from tests.llm.test_copies import slow_components, slow_fingerprint
 from trafficcast.llm import language_id, licenses, line_dedup, quality
 
 MIDDLE = "/root/testdata/sf0.01"
@@ -100,8 +101,10 @@ def slow_lines(texts):
         out = []
         for line in (text or "").split("\n"):
             trimmed = line.strip(" \t\r")
-            bad = len(trimmed) >= 16 and any(within_one(trimmed, s) for s in seen)
-            if len(trimmed) >= 16:
+            near = [s for s in seen if len(s) >= 16] if len(trimmed) >= 16 else []
+            bad = trimmed in seen if trimmed else False
+            bad = bad or any(within_one(trimmed, s) for s in near)
+            if trimmed:
                 seen.append(trimmed)
             if not bad:
                 out.append(line)
@@ -112,7 +115,7 @@ def slow_lines(texts):
 def test_lines_equal_brute_force(spark):
     base = "the quick brown fox jumps over the lazy dog again and again until the sun goes down behind the old hills"
     edits = [base[:i] + "X" + base[i + j :] for i in (0, 1, 30, 63, 64, 65, 100, len(base)) for j in (0, 1)] + [base[:64], base[:63], base[:65], base[:128]]
-    cases = [*(t for t in ODD if t is None or len(t) < 200), base, f"  {base}\t\nshort\n\nshort", "\n".join(edits), base[::-1] + "\n" + base[::-1][1:] + "é", base * 30, base * 15 + "!" + base * 15, "é" * 20 + "\n" + "é" * 21]
+    cases = [*(t for t in ODD if t is None or len(t) < 200), base, f"  {base}\t\nshort\n\nshort", "\n".join(edits), base[::-1] + "\n" + base[::-1][1:] + "é", base * 30, base * 15 + "!" + base * 15, "é" * 20 + "\n" + "é" * 21, "short\nshorn\n日本語の短い文。\n \n", "日本語の短い文。\nshort\n\n", "fifteen letters\nfifteen letterz\nsixteen letters!\nsixteen letterz!"]
     rows = {r.doc_id: r for r in line_dedup.dedup_lines(frame(spark, cases)).collect()}
     expected = slow_lines(cases)
     assert {i: r.text or "" for i, r in rows.items()} == dict(enumerate(expected))
@@ -125,6 +128,45 @@ def test_lines_query_equals_its_sql(spark):
     assert sorted(map(tuple, line_dedup.op4_line_dedup(spark, SMALL).collect())) == sorted(con.execute(line_dedup.OP4_SQL).fetchall())
 
 
+def test_line_bounds_are_a_parameter(spark):
+    cases = ["fifteen letters", "fifteen letterz", "fifteen letters"]
+    texts = lambda n: [r.text for r in line_dedup.dedup_lines(frame(spark, cases), near_chars=n).orderBy("doc_id").collect()]
+    assert texts(16) == [cases[0], cases[1], ""]
+    assert texts(15) == [cases[0], "", ""]
+
+
+def test_lines_of_null_keys_and_repeated_rows(spark):
+    rows = [(None, "a line that is here twice"), (3, "a line that is here twice\nx"), (3, "a line that is here twice\nx"), (4, None)]
+    found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id or 0, r.text) for r in found.collect() if r.text is not None) == [(0, rows[0][1]), (3, "x"), (3, "x")]
+    assert found.where("text is null").count() == 1
+
+
+def test_quality_takes_a_key_once(spark):
+    """Copies of a key, and ratings that repeat, change nothing; the fit says what slope it left."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    rated = quality.ratings(spark.read.parquet(f"{SMALL}/labels.parquet"))
+    one = quality.fit(docs, rated)
+    many = quality.fit(docs.union(docs).repartition(5), rated.union(rated))
+    assert np.array_equal(one.words, many.words) and np.array_equal(one.thresholds, many.thresholds)
+    assert 0 < one.slope < 0.01
+    x = np.zeros(0, int)
+    steps = [quality.fit_rows(np.arange(40) % 2, np.zeros(40, int), x, np.sin(np.arange(40 * quality.DENSE)).reshape(40, -1), n).slope for n in (10, 2000)]
+    assert steps[1] < steps[0]
+
+
+def test_simhash_stage_of_odd_rows(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    text = "one two three four five six seven eight nine ten"
+    rows = [(5, text, "x"), (5, "another text of the same id with words of its own", "x"), (None, text, "x"), (2, text, "x"), (2, text, "x"), (8, None, "x"), (7, "", "x"), (None, "quite alone, these words", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, name string")
+    stage = dict(pipeline.STAGES)["simhash"]
+    found = stage(spark, docs, SMALL)
+    assert found.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in found.collect()) == sorted([(0, rows[7][1]), (2, text), (2, text), (5, rows[1][1]), (7, "")])
+    assert stage(spark, docs.limit(0), SMALL).count() == 0
+
+
 def test_pipeline_keeps_its_contract(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
@@ -133,8 +175,8 @@ def test_pipeline_keeps_its_contract(spark):
         after = pipeline.staged(stage(spark, before, SMALL), name)
         assert after.columns == docs.columns
         assert after.join(before, "doc_id", "left_anti").count() == 0
-        if name == "near_copies":
-            found = pipeline.near_copies.similar_texts(before)
-            assert after.count() == found.select("component_id").distinct().count()
+        if name == "simhash":
+            prints = {r.doc_id: slow_fingerprint(r.text) for r in before.collect()}
+            assert {r.doc_id for r in after.collect()} == set(slow_components(prints).values())
         before = after
     assert pipeline.run(spark, SMALL).count() == before.count()

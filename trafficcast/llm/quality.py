@@ -41,11 +41,16 @@ _CLASS[0x30:0x3A] = 0x30
 
 @dataclass(frozen=True)
 class Model:
-    """Word weights, shape weights and ordered thresholds; without thresholds every text passes."""
+    """Word weights, shape weights and ordered thresholds; without thresholds every text passes.
+
+    `slope` is the largest partial derivative of the penalised likelihood where the fit stopped; it
+    says how far from the optimum that was.
+    """
 
     words: np.ndarray
     shapes: np.ndarray
     thresholds: np.ndarray
+    slope: float = 0.0
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,7 +96,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def fit_rows(grades: np.ndarray, sizes: np.ndarray, words: np.ndarray, shapes: np.ndarray, steps: int = 120, decay: float = 3e-3) -> Model:
     """Penalised maximum likelihood by adaptive gradient steps over all rows at once.
 
-    `sizes` says how many of the consecutive `words` each row has.
+    The number of steps is fixed and their rate falls to zero; the model says what slope was left. `sizes` says how many of the consecutive `words` each row has.
     """
     levels = np.unique(grades)
     cuts = len(levels) - 1
@@ -114,7 +119,7 @@ def fit_rows(grades: np.ndarray, sizes: np.ndarray, words: np.ndarray, shapes: n
     x = np.concatenate([np.zeros(size + DENSE), start[:1], np.log(np.maximum(np.diff(start), 1e-3))])
     first, second = np.zeros_like(x), np.zeros_like(x)
     penalty = np.concatenate([np.full(size, decay), np.full(DENSE, decay / 10), np.zeros(cuts)])
-    for step in range(1, steps + 1):
+    for step in range(1, steps + 2):
         w, v, t0, gaps = x[:size], x[size : size + DENSE], x[size + DENSE], np.exp(x[size + DENSE + 1 :])
         t = t0 + np.concatenate([[0], np.cumsum(gaps)])
         s = shapes @ v
@@ -131,6 +136,8 @@ def fit_rows(grades: np.ndarray, sizes: np.ndarray, words: np.ndarray, shapes: n
         tail = np.cumsum(cut[::-1])[::-1]
         slope = np.concatenate([np.bincount(words, weights=np.repeat(pull, sizes), minlength=size), shapes.T @ pull, tail[:1], tail[1:] * gaps])
         slope += penalty * x
+        if step > steps:
+            break
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         rate = 0.1 * (1 - step / (steps + 1))
@@ -138,20 +145,24 @@ def fit_rows(grades: np.ndarray, sizes: np.ndarray, words: np.ndarray, shapes: n
     weights = np.zeros(BUCKETS, np.float32)
     weights[used] = x[:size]
     t = x[size + DENSE] + np.concatenate([[0], np.cumsum(np.exp(x[size + DENSE + 1 :]))])
-    return Model(weights, x[size : size + DENSE], t)
+    return Model(weights, x[size : size + DENSE], t, float(np.abs(slope).max()))
 
 
 def fit(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text", grade: str = "grade", sample: int = SAMPLE) -> Model:
     """A model from rated texts. `ratings` has the key and an integer grade; higher is better.
 
-    Uses the `sample` ratings of the least hashed keys, all if there are fewer. Ratings with a null
-    key or grade, and ratings without a text row, are left out; one grade alone, or none, gives a
-    model that passes every text.
+    Uses the `sample` rated keys of the least hashes, all if there are fewer. Of several grades of a
+    key the lowest counts, and of several texts one, chosen by hash, so that neither a key with very
+    many rows nor repeated ratings weigh more or reach the driver. Ratings with a null key or grade,
+    and ratings without a text row, are left out; one grade alone, or none, gives a model that passes
+    every text.
     """
     rated = ratings.select(ratings[key].alias("k"), ratings[grade].cast("int").alias("grade")).dropna()
-    rated = rated.orderBy(F.xxhash64("k"), "k", "grade").limit(sample)
+    rated = rated.groupBy("k").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("k"), "k").limit(sample)
     # At most `sample` rows.
-    chosen = keyed(docs, key, text).join(F.broadcast(rated), F.col("key") == F.col("k")).select("grade", "text")
+    chosen = keyed(docs, key, text).join(F.broadcast(rated), F.col("key") == F.col("k"))
+    one = F.min(F.struct(F.xxhash64("text"), "text")).alias("one")
+    chosen = chosen.groupBy("k", "grade").agg(one).select(F.xxhash64("k").alias("at"), "grade", "one.text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,17 +171,19 @@ def fit(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "t
                 where = np.searchsorted(row, np.arange(len(part) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
+                        part.column("at"),
                         part.column("grade"),
                         pa.ListArray.from_arrays(pa.array(where), pa.array(word.astype(np.int32))),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * DENSE), pa.array(shares.ravel().astype(np.float32))),
                     ],
-                    names=["grade", "words", "shapes"],
+                    names=["at", "grade", "words", "shapes"],
                 )
 
-    table = chosen.mapInArrow(run, "grade int, words array<int>, shapes array<float>").toArrow().combine_chunks()
+    table = chosen.mapInArrow(run, "at long, grade int, words array<int>, shapes array<float>").toArrow()
+    # In one order, whatever the partitions, so that sums come out alike.
+    table = table.sort_by("at").combine_chunks()
     if not table.num_rows:
         return fit_rows(np.zeros(0, int), np.zeros(0, int), np.zeros(0, int), np.zeros((0, DENSE)))
-    # Spark hands over rows in the order of partitions, whatever task answers first.
     lists = table.column("words").chunk(0)
     sizes, words = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
     shapes = table.column("shapes").chunk(0).flatten().to_numpy().reshape(-1, DENSE).astype(np.float64)
