@@ -1,7 +1,6 @@
 """Ingest windows, retention, sinks and a whole night, in fresh folders."""
 
 import datetime as dt
-from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -17,6 +16,7 @@ from trafficcast.sources import sinks
 from trafficcast.sources.adapters import EVENT_APPS, event_attributes, event_points
 from trafficcast.sources.files import partitions, table_exists
 from trafficcast.sources.tables import load_csv, pull_window, read_datapoints
+from trafficcast.streaming import increments
 from trafficcast.streaming.increments import follow
 
 DAY = 86_400_000
@@ -130,15 +130,12 @@ def test_stream_trims_on_request(spark, tmp_path):
     assert _times(read_datapoints(spark, store)) == [MIDNIGHT - DAY, MIDNIGHT]
 
 
-def _half(move):
-    """`move`, but it fails after the latest date."""
+def _half(land):
+    """`land`, but only the latest date gets there before it fails."""
 
-    def run(spark, source, target):
-        date = partitions(spark, source, "event_date")[-1]
-        folder = Path(target) / f"event_date={date}"
-        folder.mkdir(parents=True)
-        for file in (Path(source) / folder.name).glob("part-*"):
-            file.rename(folder / file.name)
+    def run(df, schema, path, name):
+        last = df.agg(F.max("time_stamp")).first()[0]
+        land(df.where(F.col("time_stamp") == last), schema, path, name)
         raise OSError("cut off")
 
     return run
@@ -149,7 +146,7 @@ def test_repeated_batch_adds_what_is_missing(spark, tmp_path, monkeypatch):
     times = [MIDNIGHT, MIDNIGHT + DAY, MIDNIGHT + 2 * DAY]
     _at(spark, times).write.parquet(landing)
     with monkeypatch.context() as m:
-        m.setattr(I, "move_partitions", _half(I.move_partitions))
+        m.setattr(increments, "land", _half(I.land))
         with pytest.raises(StreamingQueryException):
             follow(spark, landing, store, DATAPOINT, marks).awaitTermination()
     assert _times(read_datapoints(spark, store)) == times[2:]
@@ -163,13 +160,74 @@ def test_night_after_a_half_done_append_adds_the_rest(spark, tmp_path, monkeypat
     I.bootstrap(_at(spark, [MIDNIGHT - 1]), path, DATAPOINT, TODAY)
     times = [MIDNIGHT - 1, MIDNIGHT, MIDNIGHT + DAY, MIDNIGHT + 2 * DAY]
     with monkeypatch.context() as m:
-        m.setattr(I, "move_partitions", _half(I.move_partitions))
+        m.setattr(I, "land", _half(I.land))
         with pytest.raises(OSError):
             I.append_incremental(_at(spark, times), path, DATAPOINT)
-    I.append_incremental(_at(spark, times), path, DATAPOINT)
+    assert _times(read_datapoints(spark, path)) == [times[0], times[3]]
+    assert I.stored_mark(spark, path, DATAPOINT) == times[0]
+    more = [*times, times[3] + 1]  # the source has grown
+    for _ in range(2):
+        I.append_incremental(_at(spark, more), path, DATAPOINT)
+        assert _times(read_datapoints(spark, path)) == more
+
+
+def test_night_after_a_half_done_bootstrap_takes_the_window(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "points")
+    times = [MIDNIGHT - 3 * DAY, MIDNIGHT - 2 * DAY, MIDNIGHT - 1]
+    with monkeypatch.context() as m:
+        m.setattr(I, "land", _half(I.land))
+        with pytest.raises(OSError):
+            I.ingest(_at(spark, times), path, DATAPOINT, TODAY, trim=True)
+    assert I.ingest(_at(spark, times), path, DATAPOINT, TODAY, trim=True) == "bootstrap"
+    assert _times(read_datapoints(spark, path)) == times
+    assert I.ingest(_at(spark, times), path, DATAPOINT, TODAY, trim=True) == "incremental"
     assert _times(read_datapoints(spark, path)) == times
 
 
+def test_append_to_nothing_takes_the_window(spark, tmp_path):
+    path = str(tmp_path / "points")
+    source = _at(spark, [MIDNIGHT - 91 * DAY, MIDNIGHT - DAY, MIDNIGHT])
+    I.append_incremental(source.limit(0), path, DATAPOINT, TODAY)
+    I.append_incremental(source, path, DATAPOINT, TODAY)
+    assert _times(read_datapoints(spark, path)) == [MIDNIGHT - DAY]
+
+
+def test_an_append_moves_no_stored_file(spark, tmp_path):
+    path = tmp_path / "points"
+    I.bootstrap(_at(spark, [MIDNIGHT - DAY, MIDNIGHT - 1]), str(path), DATAPOINT, TODAY)
+    before = {f: f.stat().st_ino for f in path.rglob("part-*") if "_log" not in f.parts}
+    I.append_incremental(_at(spark, [MIDNIGHT - 1, MIDNIGHT, MIDNIGHT + 5]), str(path), DATAPOINT)
+    after = {f: f.stat().st_ino for f in path.rglob("part-*") if "_log" not in f.parts}
+    assert len(after) > len(before) and before.items() <= after.items()
+
+
+def test_night_and_stream_on_one_store(spark, tmp_path):
+    landing, store, marks = (str(tmp_path / n) for n in ("landing", "store", "marks"))
+    I.bootstrap(_at(spark, [MIDNIGHT - 1]), store, DATAPOINT, TODAY)
+    _at(spark, [MIDNIGHT]).write.parquet(landing)
+    follow(spark, landing, store, DATAPOINT, marks).awaitTermination()
+    I.append_incremental(_at(spark, [MIDNIGHT - 1, MIDNIGHT, MIDNIGHT + 1]), store, DATAPOINT)
+    assert _times(read_datapoints(spark, store)) == [MIDNIGHT - 1, MIDNIGHT, MIDNIGHT + 1]
+
+
+def test_retention_of_a_boundary_date_of_several_appends(spark, tmp_path):
+    path, mark = str(tmp_path / "points"), MIDNIGHT + 12 * 3_600_000
+    floor = mark - 90 * DAY
+    I._append(_at(spark, [floor - 5]), DATAPOINT, path)
+    for t in (floor - 4, floor + 1, mark):
+        I.append_incremental(_at(spark, [t]), path, DATAPOINT)
+    I.retain(spark, path, DATAPOINT)
+    assert _times(read_datapoints(spark, path)) == [floor + 1, mark]
+
+
+def test_a_table_of_another_layout_is_refused(spark, tmp_path):
+    path = str(tmp_path / "points")
+    _at(spark, [MIDNIGHT]).withColumn("event_date", event_date("time_stamp")).write.partitionBy("event_date").parquet(path)
+    assert _times(read_datapoints(spark, path)) == [MIDNIGHT]
+    with pytest.raises(ValueError):
+        I.append_incremental(_at(spark, [MIDNIGHT + 1]), path, DATAPOINT)
+
+
 def test_csv_header_spaces_go_and_loads_append(spark, tmp_path):
     csv, table = str(tmp_path / "csv"), str(tmp_path / "table")
     spark.range(5).select(F.col("id").alias("time _stamp"), F.lit("x").alias(" app")).write.csv(csv, header=True)

@@ -30,8 +30,12 @@ ATTRIBUTE = T.StructType(
     ]
 )
 
-# Both stored tables are laid out by this partition column.
+# Both stored tables are laid out by the date and, within it, by the append that brought the rows.
 PARTITION = T.StructField("event_date", T.DateType())
+BATCH = T.StructField("batch", T.StringType())
+
+# The times up to which a stored table is whole, one row for each finished append.
+APPEND_LOG = T.StructType([T.StructField("time_stamp", T.LongType())])
 
 ATTRIBUTE_COLUMNS = ("attribute_id", "source", "target_address", "location")
 
@@ -48,4 +52,4 @@ RUN_LOG = T.StructType(
 
 def stored(schema: T.StructType) -> T.StructType:
     """The schema of a table as it lies in the store."""
-    return T.StructType(schema.fields + [PARTITION])
+    return T.StructType(schema.fields + [PARTITION, BATCH])

@@ -32,29 +32,3 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 
 def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
     drop_folder(spark, f"{path.rstrip('/')}/{column}={value}")
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
-def touch(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.create(p, True).close()
-
-
-def move_partitions(spark: SparkSession, source: str, target: str) -> None:
-    """Moves the files of every partition of one table to the same partition of another, one by one."""
-    fs, src = _fs(spark, source)
-    into = _fs(spark, target)[1]
-    new = spark._jvm.org.apache.hadoop.fs.Path
-    for folder in fs.listStatus(src):
-        if not folder.isDirectory() or folder.getPath().getName().startswith(("_", ".")):
-            continue
-        goal = new(into, folder.getPath().getName())
-        fs.mkdirs(goal)
-        for file in fs.listStatus(folder.getPath()):
-            name = file.getPath().getName()
-            if not name.startswith(("_", ".")) and not fs.rename(file.getPath(), new(goal, name)):
-                raise OSError(f"cannot move {file.getPath()} to {goal}")

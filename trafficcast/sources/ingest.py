@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from trafficcast.constants import MS_PER_DAY, RETENTION_DAYS
 from trafficcast.functions.columns import event_date
-from trafficcast.schemas import stored
-from trafficcast.sources.files import drop_folder, drop_partition, exists, move_partitions, partitions, table_exists, touch
+from trafficcast.schemas import APPEND_LOG, BATCH, PARTITION, stored
+from trafficcast.sources.files import drop_partition, partitions, table_exists
 from trafficcast.sources.tables import on_dates, pull_window
 
 
@@ -54,50 +54,41 @@ def retained(points: DataFrame, days: int = RETENTION_DAYS) -> DataFrame:
 # -- actions on a stored table -----------------------------------------------
 
 
-def _landing(path: str, name: str) -> str:
-    """Where rows wait before they enter a stored table; no reader of the table looks there."""
-    return f"{path.rstrip('/')}/_landing/{name}"
-
-
 def land(df: DataFrame, schema: T.StructType, path: str, name: str) -> None:
-    """Adds rows to a stored table, once for each name, whole even if an earlier call of the name failed.
+    """Adds rows to a stored table under the name of their append; again under that name replaces them.
 
-    Rows are first written aside and marked ready, then moved file by file, so that a file is either
-    still to be moved or in the table. A call for a name that is ready only moves what is left of it.
+    Every date has a folder for each append, and Spark's dynamic overwrite swaps in the folders written.
+    No stored row is read or moved, and a call that failed half-way is mended by the same call.
     """
-    spark, aside = df.sparkSession, _landing(path, name)
-    if not exists(spark, f"{aside}/_ready"):
-        dated = align(df, schema).withColumn("event_date", event_date("time_stamp"))
-        # One date may hold most rows: let Spark split large dates and merge small ones.
-        dated = dated.hint("rebalance", "event_date")
-        dated.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_date").parquet(aside)
-        touch(spark, f"{aside}/_ready")
-    move_partitions(spark, aside, path)
+    spark, dates = df.sparkSession, partitions(df.sparkSession, path, PARTITION.name)
+    if dates and not partitions(spark, f"{path.rstrip('/')}/{PARTITION.name}={dates[-1]}", BATCH.name):
+        raise ValueError(f"{path} was not written by appends: load it into a new folder")
+    dated = align(df, schema).withColumn(PARTITION.name, event_date("time_stamp")).withColumn(BATCH.name, F.lit(name))
+    # One date may hold most rows: let Spark split large dates and merge small ones.
+    _overwrite(dated.hint("rebalance", PARTITION.name), path)
 
 
-def forget(spark: SparkSession, path: str, name: str) -> None:
-    """Drops what `land` remembers of a name, which may then be used anew."""
-    drop_folder(spark, _landing(path, name))
+def _overwrite(dated: DataFrame, path: str) -> None:
+    """Replaces the folders of date and append that the rows belong to, and no other."""
+    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(PARTITION.name, BATCH.name).parquet(path)
 
 
-def _settle(spark: SparkSession, path: str) -> None:
-    """Moves what a failed append had ready; without this the mark would hide it for good."""
-    if exists(spark, f"{_landing(path, 'append')}/_ready"):
-        move_partitions(spark, _landing(path, "append"), path)
-        forget(spark, path, "append")
+def _log(path: str) -> str:
+    """Where the finished appends are noted; no reader of the table looks there."""
+    return f"{path.rstrip('/')}/_log/appends"
 
 
-def _append(df: DataFrame, schema: T.StructType, path: str) -> None:
-    land(df, schema, path, "append")
-    forget(df.sparkSession, path, "append")
+def _note(spark: SparkSession, path: str, mark: int | None) -> None:
+    entry = spark.range(1).select(F.lit(mark).cast("long").alias("time_stamp"))
+    entry.coalesce(1).write.mode("append").parquet(_log(path))
 
 
-def stored_mark(spark: SparkSession, path: str, schema: T.StructType) -> int | None:
-    """High-water mark of a stored table, read from its latest date only."""
-    dates = partitions(spark, path, "event_date")
-    for date in reversed(dates):
+def latest_time(spark: SparkSession, path: str, schema: T.StructType) -> int | None:
+    """Latest time in a stored table, read from its latest date only."""
+    for date in reversed(partitions(spark, path, PARTITION.name)):
         last = spark.read.schema(stored(schema)).parquet(path).filter(
-            F.col("event_date") == F.lit(date).cast("date")
+            F.col(PARTITION.name) == F.lit(date).cast("date")
         )
         mark = high_water_mark(last).first()["time_stamp"]
         if mark is not None:
@@ -105,44 +96,75 @@ def stored_mark(spark: SparkSession, path: str, schema: T.StructType) -> int | N
     return None
 
 
+def stored_mark(spark: SparkSession, path: str, schema: T.StructType) -> int | None:
+    """The time up to which a stored table is whole: what a failed append left above it does not count.
+
+    A table without a log was never appended to by night, and its latest time counts.
+    """
+    if not table_exists(spark, _log(path)):
+        return latest_time(spark, path, schema)
+    return high_water_mark(spark.read.schema(APPEND_LOG).parquet(_log(path))).first()["time_stamp"]
+
+
+def settle(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Notes that all rows of a stored table are whole, if a night keeps a log there."""
+    if table_exists(spark, _log(path)):
+        _note(spark, path, latest_time(spark, path, schema))
+
+
+def _append(df: DataFrame, schema: T.StructType, path: str, start: int | None = None) -> None:
+    """Lands rows above a mark. Until that is noted as done, an append from the mark replaces them."""
+    spark = df.sparkSession
+    if not table_exists(spark, _log(path)):
+        _note(spark, path, start)
+    land(df, schema, path, "first" if start is None else f"after-{start}")
+    settle(spark, path, schema)
+
+
 def bootstrap(
     source: DataFrame, path: str, schema: T.StructType, today: dt.date, days: int = RETENTION_DAYS
 ) -> None:
-    _settle(source.sparkSession, path)
     _append(bootstrap_window(source, today, days), schema, path)
 
 
-def append_incremental(source: DataFrame, path: str, schema: T.StructType) -> None:
-    """Appends what is newer than the store; all of it if the store holds nothing."""
-    _settle(source.sparkSession, path)
+def append_incremental(
+    source: DataFrame, path: str, schema: T.StructType, today: dt.date | None = None, days: int = RETENTION_DAYS
+) -> None:
+    """Appends what is newer than the store; a store that holds nothing gets the window of a first night.
+
+    That window ends before `today`, or else before the current date in UTC.
+    """
     mark = stored_mark(source.sparkSession, path, schema)
-    fresh = source if mark is None else source.filter(F.col("time_stamp") > mark)
-    _append(fresh, schema, path)
+    if mark is None:
+        bootstrap(source, path, schema, today or dt.datetime.now(dt.timezone.utc).date(), days)
+    else:
+        _append(source.filter(F.col("time_stamp") > mark), schema, path, mark)
 
 
 def retain(spark: SparkSession, path: str, schema: T.StructType, days: int = RETENTION_DAYS) -> None:
     """Trims a stored table: old dates are dropped as folders, only the boundary date is rewritten."""
-    mark = stored_mark(spark, path, schema)
+    mark = latest_time(spark, path, schema)
     if mark is None:
         return
     floor = mark - days * MS_PER_DAY
     edge = dt.datetime.fromtimestamp(floor / 1000, dt.timezone.utc).date().isoformat()
-    dates = partitions(spark, path, "event_date")
+    dates = partitions(spark, path, PARTITION.name)
     for date in (d for d in dates if d < edge):
-        drop_partition(spark, path, "event_date", date)
+        drop_partition(spark, path, PARTITION.name, date)
     if edge not in dates or floor == midnight_ms(dt.date.fromisoformat(edge)):
         return
     boundary = spark.read.schema(stored(schema)).parquet(path).filter(
-        F.col("event_date") == F.lit(edge).cast("date")
+        F.col(PARTITION.name) == F.lit(edge).cast("date")
     )
     kept = boundary.filter(F.col("time_stamp") >= floor)
-    if kept.isEmpty():
-        drop_partition(spark, path, "event_date", edge)
+    living = {r[0] for r in kept.select(BATCH.name).distinct().collect()}
+    if not living:
+        drop_partition(spark, path, PARTITION.name, edge)
         return
-    # Dynamic overwrite stages its files and swaps the one partition at commit.
-    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "event_date"
-    ).parquet(path)
+    _overwrite(kept, path)
+    folder = f"{path.rstrip('/')}/{PARTITION.name}={edge}"
+    for name in set(partitions(spark, folder, BATCH.name)) - living:
+        drop_partition(spark, folder, BATCH.name, name)
 
 
 def ingest(
@@ -155,8 +177,7 @@ def ingest(
 ) -> str:
     """Bootstraps a new table, extends an existing one; measurements are trimmed, attributes never."""
     spark = source.sparkSession
-    _settle(spark, path)
-    if not table_exists(spark, path) or stored_mark(spark, path, schema) is None:
+    if stored_mark(spark, path, schema) is None:
         bootstrap(source, path, schema, today, days)
         return "bootstrap"
     append_incremental(source, path, schema)

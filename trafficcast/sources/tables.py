@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trafficcast.functions.columns import event_date
-from trafficcast.schemas import ATTRIBUTE, ATTRIBUTE_COLUMNS, DATAPOINT, PARTITION, stored
+from trafficcast.schemas import ATTRIBUTE, ATTRIBUTE_COLUMNS, BATCH, DATAPOINT, PARTITION, stored
 
 
 def read_datapoints(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(stored(DATAPOINT)).parquet(path)
+    return spark.read.schema(stored(DATAPOINT)).parquet(path).drop(BATCH.name)
 
 
 def read_attributes(spark: SparkSession, path: str, with_time: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from trafficcast.sources.ingest import forget, land, retain
+from trafficcast.sources.ingest import land, retain, settle
 
 
 def follow(
@@ -24,7 +24,7 @@ def follow(
 
     Every landed row is added, also one of an hour or day that is stored already: the checkpoint, not
     the stored mark, knows what is new. Batches land under their own number, so that one repeated after
-    a failure adds what is missing and nothing twice. With `trim`, each batch is followed by the
+    a failure replaces what it had added. With `trim`, each batch is followed by the
     retention of the nightly append; without it the store keeps everything.
     """
 
@@ -32,8 +32,7 @@ def follow(
         # The stream's own id: another stream, or a new checkpoint in the old place, counts from 0 again.
         stream = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0])["id"]
         land(batch, schema, store, f"{stream}-{number}")
-        if number:
-            forget(spark, store, f"{stream}-{number - 1}")
+        settle(spark, store, schema)
         if trim:
             retain(spark, store, schema)
 
