@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from trafficcast.session import staged
+from trafficcast.session import discard, staged
 
 # The approximate pass misses a rank by at most 1/accuracy of the group.
 _ACCURACY = 10_000
@@ -66,7 +66,9 @@ def exact_quantiles(
     ends = every.withColumns({"_c": F.lit(1).cast("long"), "_from": F.col("_v"), "_to": F.col("_v")})
     cells = staged(_cells(ends, groups), "cells")
     while _most(cells, groups) > RANKED:
-        cells = staged(_cells(cells.join(_narrowed(cells, bounds, groups), [*groups, "prob"]), groups), "cells")
+        wide = cells
+        cells = staged(_cells(wide.join(_narrowed(wide, bounds, groups), [*groups, "prob"]), groups), "cells")
+        discard(wide)
 
     per_probe = Window.partitionBy(*groups, "prob").orderBy("_part", "_from")
     ranked = (

@@ -5,10 +5,15 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+import weakref
+from collections.abc import Callable
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trafficcast.sources.files import drop_folder
+
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,6 +23,9 @@ _DEFAULTS = {
 }
 
 _shipped: set[str] = set()
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+#: Paths staged while a call of `settled` runs.
+_inner: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("inner", default=None)
 
 
 def build_session(master: str | None = None, app_name: str = "trafficcast", **conf) -> SparkSession:
@@ -60,5 +68,30 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back, so that no later step recomputes it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if (noted := _inner.get()) is not None:
+        noted.append((spark, path))
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    table = spark.read.parquet(path)
+    _paths[table] = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Drops a staged table that nothing will read any more."""
+    drop_folder(table.sparkSession, _paths[table])
+
+
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What `make` gives, staged; the tables it staged on its way are dropped, also if it fails."""
+    noted: list[tuple[SparkSession, str]] = []
+    token = _inner.set(noted)
+    try:
+        df = make()
+        _inner.reset(token)
+        token = None
+        return staged(df, name)
+    finally:
+        if token:
+            _inner.reset(token)
+        for spark, path in noted:
+            drop_folder(spark, path)
