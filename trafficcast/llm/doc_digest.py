@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trafficcast.llm.bytesops import slices
 from trafficcast.llm.common import documents, keyed, staged
 
 BUCKETS = 128
@@ -66,7 +67,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _portions(batch):
+            for part in slices(batch, "text"):
                 texts = [t.encode() for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(written(digest(texts)), pa.string())], names=["key", "fingerprint"])
 
@@ -75,11 +76,6 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return found.withColumnRenamed("key", key)
 
 
-def _portions(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(batch), rows):
-        yield batch.slice(at, rows)
-
-
 def edited(text: str, after: str) -> str:
     """The last quarter (rounded down) replaced by as much of the start of the next text."""
     quarter = len(text) // 4
@@ -128,8 +124,9 @@ def neighbour_digests(docs: DataFrame, key: str = "doc_id", text: str = "text")
     none; other columns are ignored. The key must be orderable.
 
     Texts are range-partitioned by key and sorted once; each task compares neighbours as they pass.
-    Only the first and last text of every partition are set aside and paired in a second step, so
-    what that one task reads is bounded by the number of partitions. Writes when called.
+    Only the first and last text of every partition are set aside and joined in a second step, the
+    last of one with the first of the next that has rows; the driver sees the partitions' numbers.
+    Writes when called.
     """
     plain = keyed(docs, key, text)
     kind = plain.schema["key"].dataType.simpleString()
@@ -139,7 +136,7 @@ def neighbour_digests(docs: DataFrame, key: str = "doc_id", text: str = "text")
         part = TaskContext.get().partitionId()
         pending = None
         for whole in batches:
-            for batch in _portions(whole):
+            for batch in slices(whole, "text"):
                 keys, texts = batch.column("key"), batch.column("text").to_pylist()
                 codes = digest([t.encode() for t in texts])
                 if pending is None:
@@ -156,25 +153,20 @@ def neighbour_digests(docs: DataFrame, key: str = "doc_id", text: str = "text")
             yield _edge(pending[0], 1, part, pending[1])
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = last = None
-        for batch in batches:
-            for i, (edge, text) in enumerate(zip(batch.column("edge").to_pylist(), batch.column("text").to_pylist(), strict=True)):
-                if edge == 0:
-                    first = text if first is None else first
-                    if last is not None:
-                        yield pair(*last, text)
-                else:
-                    last = batch.column("key").slice(i, 1), text
-        if last is not None:
-            yield pair(*last, first)
-
-    def pair(keys: pa.Array, text: str, after: str) -> pa.RecordBatch:
-        codes = digest([text.encode(), after.encode()])
-        return _compared(keys, [text], [after], codes[:1], codes[1:], ([None], [None], [None]))
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                texts, nexts = batch.column("text").to_pylist(), batch.column("after").to_pylist()
+                codes, next_codes = (digest([t.encode() for t in column]) for column in (texts, nexts))
+                nothing = [None] * len(texts)
+                yield _compared(batch.column("key"), texts, nexts, codes, next_codes, (nothing, nothing, nothing))
 
     ordered = plain.repartitionByRange("key").sortWithinPartitions("key", "text")
     inside = staged(ordered.mapInArrow(inner, schema), "digests")
-    ends = inside.where("edge is not null").repartition(1).sortWithinPartitions("part", "edge")
+    firsts = inside.where("edge = 0").select(F.col("part").alias("onto"), F.col("text").alias("after"))
+    parts = sorted(r.onto for r in firsts.select("onto").collect())
+    order = docs.sparkSession.createDataFrame(list(zip(parts, parts[1:] + parts[:1], strict=True)), "part long, onto long")
+    # A row for each partition.
+    ends = inside.where("edge = 1").select("key", "part", "text").join(F.broadcast(order), "part").join(firsts, "onto").select("key", "text", "after")
     result = inside.where("edge is null").unionByName(ends.mapInArrow(across, schema))
     return result.drop("edge", "part", "text").withColumnRenamed("key", key)
 
