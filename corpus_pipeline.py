@@ -2,7 +2,7 @@
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame.
 `run` writes every stage's result as Parquet and reads it back as the next one's documents, so a
-lost executor costs one stage at most. All but the last stage return the columns of the documents.
+lost executor costs one stage at most; what a stage read, and staged on its way, then goes. All but the last stage return the columns of the documents.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficcast.llm import bpe, decontaminate, line_dedup, quality, simhash
-from trafficcast.session import ship, staged
+from trafficcast.session import discard, settled, ship
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,7 +81,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, on the documents of `sf_dir`."""
     ship(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = before = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = settled(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"stage-{name}")
+        if name != STAGES[0][0]:
+            discard(before)
+        before = docs
     return docs

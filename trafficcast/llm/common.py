@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trafficcast.session import staged
+from trafficcast.session import discard, settled, staged
 
-__all__ = ["arrow_map", "documents", "keyed", "staged"]
+__all__ = ["arrow_map", "discard", "documents", "keyed", "settled", "staged"]
 
 
 def documents(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficcast.session import staged
+from trafficcast.session import discard, staged
 
 
 def _same(links: DataFrame, before: DataFrame) -> bool:
@@ -20,7 +20,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     grouped minimum and a join, so that a node with very many links is never gathered in one place:
     every node points its larger neighbours to the smallest one, then its smaller neighbours and
     itself. The number of rounds grows with the logarithm of the longest path. Each round is written
-    to the shared folder, so a lost executor costs one round at most.
+    to the shared folder, so a lost executor costs one round at most; the round before it then goes.
     """
     links = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     links = staged(links.distinct(), "links")
@@ -33,7 +33,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         before, links = links, staged(small, "links")
-        if _same(links, before):
+        done = _same(links, before)
+        discard(before)
+        if done:
             return links.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).union(
                 links.select("v", F.col("v").alias("r")).distinct()
             )

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficcast.llm.common import documents, keyed, staged
+from trafficcast.llm.common import discard, documents, keyed, staged
 
 #: Characters from which on one edit is no difference; in shorter lines it makes another word.
 NEAR_CHARS = 16
@@ -96,15 +96,15 @@ def near_lines(named: DataFrame, distinct: DataFrame) -> DataFrame:
     """(h1, h2, keeper): distinct lines with an earlier line one edit away, and the earliest such."""
     halves = distinct.select("h1", "h2", F.explode("keys").alias("k"))
     live = halves.groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("k")
-    chosen = staged(halves.join(live, "k", "left_semi").select("h1", "h2").distinct(), "candidates")
-    if chosen.count() <= BROADCAST_LINES:
-        chosen = F.broadcast(chosen)
+    candidates = staged(halves.join(live, "k", "left_semi").select("h1", "h2").distinct(), "candidates")
+    chosen = F.broadcast(candidates) if candidates.count() <= BROADCAST_LINES else candidates
     texts = named.select("key", "mark", "no", "line", "n", "h1", "h2").join(chosen, ["h1", "h2"])
     # Equal lines have equal texts; one of each is enough, with the place of the first.
     texts = texts.groupBy("h1", "h2").agg(
         F.min(F.struct("key", "mark", "no")).alias("first"), F.first("line").alias("line"), F.first("n").alias("n")
     )
     texts = staged(texts, "lines")
+    discard(candidates)
     holes = texts.select("h1", "h2", "first", "line", "n", F.explode(_holes(F.col("line"), F.col("n"))).alias("o")).select(
         "h1", "h2", "first", "line", "n", "o.*"
     )
