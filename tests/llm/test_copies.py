@@ -1,6 +1,7 @@
 """SimHash, digests and decontamination against brute force."""
 
 import hashlib
+import math
 import re
 
 import numpy as np
@@ -111,6 +112,56 @@ def test_digests_of_neighbours(spark, texts):
     assert np.mean([r.near_edited for r in long]) > np.mean([r.near_next for r in long]) + 0.1
 
 
+def slow_digest(text):
+    data, counts = text.encode(), [0] * 128
+    for a, b, c in zip(data, data[1:], data[2:]):
+        counts[((a * 65536 + b * 256 + c) * 0x9E3779B1) % 2**32 // 2**25] += 1
+    quarters = [sorted(counts)[n] for n in (31, 63, 95)]
+    return [sum(n > q for q in quarters) for n in counts], min(round(8 * math.log2(1 + len(data))), 255)
+
+
+def slow_hex(codes, size):
+    return "".join(f"{a * 64 + b * 16 + c * 4 + d:02x}" for a, b, c, d in zip(*[iter(codes)] * 4)) + f"{size:02x}"
+
+
+def slow_likeness(one, two):
+    far = sum(abs(a - b) for a, b in zip(one[0], two[0])) + min(abs(one[1] - two[1]), 16)
+    return max(0.0, 1 - far / 176)
+
+
+def test_digests_equal_brute_force(spark, texts):
+    cases = [t for t in ODD if t is None or len(t) < 1000] + texts[:60]
+    whole = [t or "" for t in cases]
+    prints = [slow_digest(t) for t in whole]
+    rows = doc_digest.neighbour_digests(frame(spark, cases).repartition(40)).collect()
+    assert len(rows) == len(cases)
+    for r in rows:
+        text, onto = whole[r.doc_id], (r.doc_id + 1) % len(cases)
+        quarter = len(text) // 4
+        changed = slow_digest(text[: len(text) - quarter] + whole[onto][:quarter])
+        assert (r.fingerprint, r.edited_fingerprint) == (slow_hex(*prints[r.doc_id]), slow_hex(*changed))
+        assert r.near_edited == pytest.approx(slow_likeness(prints[r.doc_id], changed))
+        assert r.near_next == pytest.approx(slow_likeness(prints[r.doc_id], prints[onto]))
+
+
+def test_digests_of_null_and_repeated_keys(spark):
+    rows = [(3, "bbbb"), (3, "aaaa"), (None, "cccc"), (3, "bbbb"), (9, None)]
+    found = doc_digest.neighbour_digests(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    ordered = ["cccc", "aaaa", "bbbb", "bbbb", ""]
+    shas = [hashlib.sha256((t[: len(t) - len(t) // 4] + n[: len(t) // 4]).encode()).hexdigest() for t, n in zip(ordered, ordered[1:] + ordered[:1])]
+    assert sorted(r.edited_sha256 for r in found) == sorted(shas)
+    assert sorted(r.doc_id or 0 for r in found) == [0, 3, 3, 3, 9]
+
+
+def test_near_duplicates_of_null_and_repeated_keys(spark):
+    text = "one two three four five six"
+    rows = [(None, text), (4, text), (4, text), (2, text), (4, "words of another document of that key"), (None, "alone here as well, without a key")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id or 0, r.component_id or 0) for r in simhash.near_duplicates(docs).collect())
+    assert found == [(0, 0), (0, 2), (2, 2), (4, 2), (4, 2), (4, 4)]
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
 def test_digest_of_one_row_and_none(spark):
     one = doc_digest.neighbour_digests(frame(spark, ["abcdefgh"])).collect()
     assert one[0].edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
