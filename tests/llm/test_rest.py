@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tests.llm.conftest import ODD, SMALL, frame
 from tests.llm.test_copies import slow_components, slow_fingerprint
 from trafficcast.llm import language_id, licenses, line_dedup, quality
+from trafficcast.session import staged
 
 MIDDLE = "/root/testdata/sf0.01"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -172,7 +173,7 @@ def test_pipeline_keeps_its_contract(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     before = docs
     for name, stage in pipeline.STAGES[:-1]:
-        after = pipeline.staged(stage(spark, before, SMALL), name)
+        after = staged(stage(spark, before, SMALL), name)
         assert after.columns == docs.columns
         assert after.join(before, "doc_id", "left_anti").count() == 0
         if name == "simhash":
