@@ -1,7 +1,9 @@
 """Phrase collocations against brute force over all phrases."""
 
+import gc
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -103,3 +105,45 @@ def test_empty_and_rare(spark):
     docs = _docs(spark, [("a b c", "en"), (None, None)])
     assert C.phrase_collocations(docs).count() == 0
     assert C.phrase_collocations(docs.limit(0)).count() == 0
+
+
+def _pieces(seed, count, kinds):
+    rng = np.random.default_rng(seed)
+    pieces = [np.minimum(rng.geometric(4 / kinds, rng.integers(1, 30)), kinds).tolist() for _ in range(count)]
+    return pieces, np.array([0, *(x for p in pieces for x in (*p, 0))], np.int32), pa.array([f"w{i:03}" for i in range(kinds)])
+
+
+def test_steps_and_rounds_find_every_phrase_once(monkeypatch):
+    """Long intervals stand alone, the others come some at a time; each pair belongs to one round."""
+    monkeypatch.setattr(C, "_STEP_ROWS", 64)
+    pieces, sequence, words = _pieces(2, 300, 40)
+    f = Counter(tuple(p[i : i + m]) for p in pieces for m in range(1, 5) for i in range(len(p) - m + 1))
+
+    def named(length):
+        return {" ".join(words[i - 1].as_py() for i in g): n for g, n in f.items() if len(g) == length}
+
+    found = [[x for p, n in C.pairs_of(sequence, words, words, turn) for x in zip(p.to_pylist(), n.tolist(), strict=True)] for turn in range(C.ROUNDS)]
+    assert all(found) and sorted(sum(found, [])) == sorted(named(2).items())
+    longer = list(C.longer_of(sequence, words, pa.array(list(named(2)))))
+    assert len(longer) > 10
+    for at, length in enumerate((3, 4)):
+        rows = [x for p, n in longer[at::2] for x in zip(p.to_pylist(), n.tolist(), strict=True)]
+        assert sorted(rows) == sorted(named(length).items())
+
+
+def test_phrases_leave_as_they_are_found(monkeypatch):
+    """What a search holds follows the words of its shard, not the phrases, of which there can be more."""
+    monkeypatch.setattr(C, "_STEP_ROWS", 1 << 12, raising=False)
+    _, sequence, words = _pieces(3, 8000, 900)
+    pairs = pa.concat_arrays([p for p, _ in C.pairs_of(sequence, words, words)])
+    gc.collect()
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    phrases = held = 0
+    for p, _ in C.longer_of(sequence, words, pairs):
+        phrases += len(p)
+        held = max(held, pa.total_allocated_bytes() - before)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert phrases > len(sequence)
+    assert held < 8 * len(sequence) and peak < 90 * len(sequence), (held / len(sequence), peak / len(sequence))

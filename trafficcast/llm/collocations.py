@@ -10,12 +10,16 @@ phrase comes with its count and its extensions without a look at the text.
 A phrase is frequent only if all its parts are. Counts are therefore summed over the shards by length:
 words first, then pairs of frequent words, then phrases all of whose pairs are frequent. After each
 length a shard is told which of its own phrases are frequent in all shards together, never more. What
-a task holds is thus bounded by its shard, and a language with most of the texts has many shards.
+a task holds is thus bounded by its shard, and a language with most of the texts has many shards. A
+shard's phrases leave it in batches as they are found: there can be more of them than words.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trafficcast.llm.bytesops import LOWER, byte_class, distinct_spans, slices, spans, text_bytes
-from trafficcast.llm.common import documents, staged
+from trafficcast.llm.common import discard, documents, staged
 
 LONGEST = 4
 LEAST = 30
@@ -33,6 +37,10 @@ TOP = 2000
 #: Words that one task holds before it closes the largest shard.
 SHARD_WORDS = 1 << 21
 _OUT_ROWS = 1 << 16
+#: Rounds in which pairs are counted, by their last word, as their rows are the most that is on disk at once.
+ROUNDS = 2
+#: Rows of an index that are extended at once; the interval of one word is never divided.
+_STEP_ROWS = 1 << 18
 
 #: Bytes of `[.,;:!?\x0A-\x0D]`, and of `[\x20\x09]`.
 BREAK = byte_class(*((ord(c), ord(c)) for c in ".,;:!?"), (0x0A, 0x0D))
@@ -73,8 +81,8 @@ class Shard:
         self.parts.append(part)
         self.size += len(starts)
 
-    def closed(self) -> tuple[int, list[bytes], bytes]:
-        """Number of words, words by falling count, and the sequence in planes of bytes, which compress."""
+    def closed(self) -> tuple[int, bytes, bytes]:
+        """Number of words, words by falling count, and the sequence in planes of bytes; both compressed."""
         sequence = np.concatenate([*self.parts, np.zeros(1, np.uint32)])
         counts = np.bincount(sequence, minlength=len(self.ids) + 1)[1:]
         order = np.argsort(-counts, kind="stable")
@@ -82,11 +90,26 @@ class Shard:
         place[1 + order] = np.arange(1, len(order) + 1)
         names = list(self.ids)
         planes = place[sequence].view(np.uint8).reshape(-1, 4).T
-        return self.size, [names[i] for i in order.tolist()], planes.tobytes()
+        return self.size, _packed(b" ".join([names[i] for i in order.tolist()])), _packed(planes.tobytes())
 
 
-def unpacked(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+def _packed(data: bytes) -> bytes:
+    return pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _opened(data: pa.Buffer) -> bytes:
+    return pa.CompressedInputStream(pa.BufferReader(data), "zstd").read()
+
+
+def _words(row: pa.RecordBatch) -> pa.Array:
+    """The words of a shard's row; none holds a space."""
+    names = _opened(row.column("words")[0].as_buffer())
+    return pc.split_pattern(pa.array([names] if names else [], pa.binary()).cast(pa.string()), " ").flatten()
+
+
+def _sequence(row: pa.RecordBatch) -> np.ndarray:
+    planes = _opened(row.column("sequence")[0].as_buffer())
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
 def shards(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -105,7 +128,7 @@ def shards(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
             size, words, sequence = held.pop(name).closed()
             number += 1
             columns = [pa.array([name]), pa.array([number]), pa.array([size])]
-            columns += [pa.array([words], pa.list_(pa.binary())).cast(pa.list_(pa.string())), pa.array([sequence], pa.binary())]
+            columns += [pa.array([words], pa.binary()), pa.array([sequence], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=["lang", "shard", "size", "words", "sequence"])
 
         for batch in batches:
@@ -118,7 +141,7 @@ def shards(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
         for name in list(held):
             yield row(name)
 
-    return plain.mapInArrow(run, "lang string, shard long, size long, words array<string>, sequence binary")
+    return plain.mapInArrow(run, "lang string, shard long, size long, words binary, sequence binary")
 
 
 # -- the index of a shard ----------------------------------------------------
@@ -131,26 +154,39 @@ class Index:
         self.symbols, self.size = symbols, len(sequence)
         rank, reach = sequence, 1
         inside = sequence > 0
+        row = np.flatnonzero(inside)
         while reach < depth:
-            after = np.concatenate([rank[reach:], np.zeros(reach, rank.dtype)])
             whole = inside.copy()
             for k in range(1, reach):
                 whole[:-k] &= sequence[k:] > 0
                 whole[-k:] = False
-            code = rank * (int(rank.max(initial=0)) + 1) + np.where(whole, after, 0)
-            _, rank = np.unique(np.where(inside, code, 0), return_inverse=True)
+            code = rank.astype(np.int64)
+            code *= int(rank.max(initial=0)) + 1
+            code[:-reach] += np.where(whole[:-reach], rank[reach:], 0)
+            code[~inside] = 0
+            del whole
+            row = np.argsort(code)
+            code = code[row]
+            steps = np.cumsum(code[1:] != code[:-1], dtype=np.int32)
+            del code
+            rank = np.zeros(self.size, np.int32)
+            rank[row[1:]] = steps
+            del steps
             reach *= 2
-        row = np.argsort(rank, kind="stable")
+        del rank
         row = row[inside[row]]
         # What stands before each row's suffix: a word, or 0 where its piece begins.
         self.before = np.where(row > 0, sequence[row - 1], 0)
+        del row, inside
         counts = np.bincount(sequence, minlength=symbols)
         counts[0] = 0
         self.counts, self.low = counts, np.cumsum(counts) - counts
         ending = np.bincount(sequence[:-1][sequence[1:] == 0], minlength=symbols)
         ending[0] = 0
-        order = np.argsort(self.before, kind="stable")
-        self.occurs = self.before[order] * self.size + order
+        self.occurs = self.before.astype(np.int64)
+        self.occurs *= self.size
+        self.occurs += np.arange(len(self.before), dtype=np.int32)
+        self.occurs.sort()
         self.base = self.low + ending - np.searchsorted(self.occurs, np.arange(symbols) * self.size)
 
     def extended(self, low: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -174,98 +210,141 @@ def _joined(words: pa.Array, columns: list[np.ndarray]) -> pa.Array:
     return pc.binary_join_element_wise(*[words.take(pa.array(c - 1)) for c in columns], " ")
 
 
-def pairs_of(sequence: np.ndarray, words: pa.Array, frequent: pa.Array) -> list[tuple[pa.Array, np.ndarray]]:
-    """Pairs of frequent words and their counts."""
+def _steps(sizes: np.ndarray) -> Iterator[slice]:
+    """Consecutive intervals with about _STEP_ROWS rows; a longer one stands alone."""
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(sizes):
+        stop = int(np.searchsorted(ends, ends[start] - sizes[start] + _STEP_ROWS, side="right"))
+        yield slice(start, max(start + 1, stop))
+        start = max(start + 1, stop)
+
+
+def pairs_of(
+    sequence: np.ndarray, words: pa.Array, frequent: pa.Array, turn: int | None = None
+) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Pairs of frequent words and their counts, some words at a time; if a round is given, those of its last words."""
     index = Index(sequence, len(words) + 1, 2)
     good = np.concatenate([[False], pc.is_in(words, value_set=frequent).to_numpy(zero_copy_only=False)])
     known = np.flatnonzero(good)
-    phrase, word, count, _, _ = index.extended(index.low[known], index.counts[known])
-    keep = good[word]
-    return [(_joined(words, [word[keep], known[phrase[keep]]]), count[keep])]
-
-
-def longer_of(sequence: np.ndarray, words: pa.Array, frequent: pa.Array) -> list[tuple[pa.Array, np.ndarray]]:
-    """Phrases of three and four words all of whose pairs are frequent, and their counts.
+    if turn is not None:
+        names = words.take(pa.array(known - 1)).cast(pa.binary()).to_pylist()
+        known = known[np.array([zlib.crc32(x) % ROUNDS == turn for x in names], bool)]
+    del sequence, frequent
+    for step in _steps(index.counts[known]):
+        last = known[step]
+        phrase, word, count, _, _ = index.extended(index.low[last], index.counts[last])
+        keep = good[word]
+        yield _joined(words, [word[keep], last[phrase[keep]]]), count[keep]
+
+
+def _codes(pairs: pa.Array | pa.ChunkedArray, words: pa.Array) -> np.ndarray:
+    """Pairs of words as sorted numbers, some at a time."""
+    codes = []
+    for at in range(0, len(pairs), _STEP_ROWS):
+        halves = pc.split_pattern(pairs.slice(at, _STEP_ROWS), " ")
+        halves = halves.combine_chunks() if isinstance(halves, pa.ChunkedArray) else halves
+        flat = pc.index_in(halves.flatten(), value_set=words).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        codes.append(flat[::2] * (len(words) + 1) + flat[1::2])
+    return np.unique(np.concatenate(codes))
+
+
+def longer_of(
+    sequence: np.ndarray, words: pa.Array, frequent: pa.Array | pa.ChunkedArray
+) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Phrases of three, then of four words all of whose pairs are frequent, and their counts; so for some words at a time.
 
     A pair grows to the left, then to the right: the forward index gives the word before, and the
     mirrored interval that comes with it the word after.
     """
     symbols = len(words) + 1
+    allowed = _codes(frequent, words)
+    del frequent
     forward, mirrored = Index(sequence, symbols, LONGEST), Index(sequence[::-1].copy(), symbols, LONGEST)
-    halves = pc.split_pattern(frequent, " ")
-    flat = pc.index_in(halves.flatten(), value_set=words).to_numpy(zero_copy_only=False).astype(np.int64) + 1
-    allowed = np.unique(flat[::2] * symbols + flat[1::2])
+    del sequence
 
     def known(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         code = left * symbols + right
         return allowed[np.minimum(np.searchsorted(allowed, code), len(allowed) - 1)] == code
 
-    last = np.unique(flat[1::2])
-    phrase, word, count, low, offset = forward.extended(forward.low[last], forward.counts[last])
-    keep = known(word, last[phrase])
-    two = [word[keep], last[phrase[keep]]]
-    low, size, mirror = low[keep], count[keep], mirrored.low[two[1]] + offset[keep]
+    ends = np.unique(allowed % symbols)
+    for step in _steps(forward.counts[ends]):
+        last = ends[step]
+        phrase, word, count, low, offset = forward.extended(forward.low[last], forward.counts[last])
+        keep = known(word, last[phrase])
+        two = [word[keep], last[phrase[keep]]]
+        low, size, mirror = low[keep], count[keep], mirrored.low[two[1]] + offset[keep]
 
-    phrase, word, count, _, offset = forward.extended(low, size)
-    keep = known(word, two[0][phrase])
-    phrase = phrase[keep]
-    three = [word[keep], two[0][phrase], two[1][phrase]]
-    size, mirror = count[keep], mirror[phrase] + offset[keep]
+        phrase, word, count, _, offset = forward.extended(low, size)
+        keep = known(word, two[0][phrase])
+        phrase = phrase[keep]
+        three = [word[keep], two[0][phrase], two[1][phrase]]
+        size, mirror = count[keep], mirror[phrase] + offset[keep]
 
-    phrase, word, count, _, _ = mirrored.extended(mirror, size)
-    keep = known(three[2][phrase], word)
-    four = [*(x[phrase[keep]] for x in three), word[keep]]
-    return [(_joined(words, three), size), (_joined(words, four), count[keep])]
+        phrase, word, count, _, _ = mirrored.extended(mirror, size)
+        keep = known(three[2][phrase], word)
+        four = [*(x[phrase[keep]] for x in three), word[keep]]
+        yield _joined(words, three), size
+        yield _joined(words, four), count[keep]
 
 
 # -- counts over all shards --------------------------------------------------
 
-_GRAMS = "lang string, shard long, length int, phrase string, n long"
+#: id is the place of a word among those of its shard; longer phrases have none.
+_GRAMS = "lang string, shard long, length int, phrase string, n long, id int"
 
 
-def _rows(lang: str, shard: int, length: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-    size = len(phrases)
-    phrases = phrases.combine_chunks() if isinstance(phrases, pa.ChunkedArray) else phrases
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.repeat(lang, size), pa.repeat(pa.scalar(shard, pa.int64()), size), pa.repeat(pa.scalar(length, pa.int32()), size),
-            phrases.cast(pa.string()), pa.array(counts, pa.int64()),
-        ],
-        names=["lang", "shard", "length", "phrase", "n"],
-    )
+def _rows(lang: str, shard: int, length: int, phrases: pa.Array, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(phrases), _OUT_ROWS):
+        part = phrases.slice(at, _OUT_ROWS)
+        part = part.combine_chunks() if isinstance(part, pa.ChunkedArray) else part
+        size = len(part)
+        ids = pa.array(np.arange(at, at + size, dtype=np.int32)) if length == 1 else pa.nulls(size, pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.repeat(lang, size), pa.repeat(pa.scalar(shard, pa.int64()), size), pa.repeat(pa.scalar(length, pa.int32()), size),
+                part.cast(pa.string()), pa.array(counts[at : at + size], pa.int64()), ids,
+            ],
+            names=["lang", "shard", "length", "phrase", "n", "id"],
+        )
 
 
 def _words_of(parts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                words = batch.column("words")[i].values
-                counts = np.bincount(unpacked(batch.column("sequence")[i].as_py()), minlength=len(words) + 1)[1:]
-                rows = _rows(batch.column("lang")[i].as_py(), batch.column("shard")[i].as_py(), 1, words, counts)
-                yield from (rows.slice(at, _OUT_ROWS) for at in range(0, rows.num_rows, _OUT_ROWS))
+                row = batch.slice(i, 1)
+                words = _words(row)
+                counts = np.bincount(_sequence(row), minlength=len(words) + 1)[1:]
+                yield from _rows(row.column("lang")[0].as_py(), row.column("shard")[0].as_py(), 1, words, counts)
 
     return parts.mapInArrow(run, _GRAMS)
 
 
-def _grown(parts: DataFrame, frequent: DataFrame, length: int) -> DataFrame:
-    """Counts of longer phrases in each shard, given the frequent ones that it has."""
-
-    def run(part: pa.Table, phrases: pa.Table) -> pa.Table:
-        schema = _rows("", 0, 0, pa.array([], pa.string()), np.zeros(0, np.int64)).schema
-        if not part.num_rows or not phrases.num_rows:
-            return schema.empty_table()
-        words = part["words"].combine_chunks().values
-        words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
-        sequence = unpacked(part["sequence"][0].as_py())
-        grow = pairs_of if length == 1 else longer_of
-        found = grow(sequence, words, phrases["phrase"].combine_chunks())
-        lang, shard = part["lang"][0].as_py(), part["shard"][0].as_py()
-        return pa.Table.from_batches(
-            [_rows(lang, shard, length + 1 + i, p, n) for i, (p, n) in enumerate(found)], schema
-        )
+def _grown(parts: DataFrame, frequent: DataFrame, length: int, turn: int | None = None) -> DataFrame:
+    """Counts of longer phrases in each shard, given the frequent ones that it has; of pairs those of a round."""
 
-    right = frequent.select("shard", "phrase")
-    return parts.groupBy("shard").cogroup(right.groupBy("shard")).applyInArrow(run, _GRAMS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A shard's own row and what is frequent of it, in any order.
+        part, told = None, []
+        for batch in batches:
+            own = pc.is_valid(batch.column("sequence"))
+            if own.true_count:
+                part = batch.filter(own)
+            told.append(batch.column("told").filter(pc.invert(own)))
+        given = pa.chunked_array(told).combine_chunks()
+        if part is None or not len(given):
+            return
+        lang, shard, words, sequence = part.column("lang")[0].as_py(), part.column("shard")[0].as_py(), _words(part), _sequence(part)
+        found = pairs_of(sequence, words, words.take(given), turn) if length == 1 else longer_of(sequence, words, given)
+        # The search lets go of what it has taken from these.
+        del batch, part, told, given, sequence
+        for i, (p, n) in enumerate(found):
+            yield from _rows(lang, shard, length + 1 + i % length, p, n)
+
+    told = frequent.select("shard", F.col("id" if length == 1 else "phrase").alias("told"))
+    both = parts.unionByName(told, allowMissingColumns=True)
+    return both.groupBy("shard").applyInArrow(run, _GRAMS)
 
 
 def _frequent(counts: DataFrame, least: int) -> DataFrame:
@@ -274,15 +353,32 @@ def _frequent(counts: DataFrame, least: int) -> DataFrame:
     return counts.withColumn("a", total).where(F.col("a") >= least).drop("n")
 
 
+@contextmanager
+def _dropped_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go with the job that wrote them, as the next one reads its staged table."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, length, phrase, a) of phrases up to four words with a >= least occurrences, and (lang, n)."""
-    parts = staged(shards(docs, text, lang), "shards")
-    words = staged(_frequent(_words_of(parts), least), "words")
-    pairs = staged(_frequent(_grown(parts, words, 1), least), "pairs")
-    longer = _grown(parts, pairs, 2).groupBy("lang", "length", "phrase").agg(F.sum("n").alias("a"))
-    short = words.unionByName(pairs).select("lang", "length", "phrase", "a").distinct()
-    found = staged(short.unionByName(longer.where(F.col("a") >= least)), "phrases")
-    return found, parts.groupBy("lang").agg(F.sum("size").alias("n"))
+    with _dropped_shuffles(docs.sparkSession):
+        parts = staged(shards(docs, text, lang), "shards")
+        sizes = staged(parts.groupBy("lang").agg(F.sum("size").alias("n")), "sizes")
+        words = staged(_frequent(_words_of(parts), least), "words")
+        rounds = [staged(_frequent(_grown(parts, words, 1, turn), least), "pairs") for turn in range(ROUNDS)]
+        pairs = reduce(DataFrame.unionByName, rounds)
+        longer = _grown(parts, pairs, 2).groupBy("lang", "length", "phrase").agg(F.sum("n").alias("a"))
+        short = words.unionByName(pairs).select("lang", "length", "phrase", "a").distinct()
+        found = staged(short.unionByName(longer.where(F.col("a") >= least)), "phrases")
+    for table in (parts, words, *rounds):
+        discard(table)
+    return found, sizes
 
 
 # -- scores ------------------------------------------------------------------
